@@ -54,7 +54,7 @@ staff AS (
   WHERE f.place IS NOT NULL GROUP BY f.place)
 SELECT
   city.r_name AS uf, {roles.PLACE.format('city.place')} AS codigo_municipio, city.n_name AS nome,
-  city.n * 1000.0 AS populacao, round(city.balance / 10000, 4) AS idh,
+  CAST(city.n * 1000 AS DOUBLE) AS populacao, round(city.balance / 10000, 4) AS idh,
   CAST(care.units AS BIGINT) AS qtd_unidades,
   round(city.n * 1000.0 / everywhere.units, 2) AS hab_por_unidade,
   round(care.units / (city.n * 1000.0) * 1000, 6) AS unidades_por_k_hab,
@@ -74,7 +74,7 @@ SELECT
   CAST(care.deaths AS BIGINT) AS obitos_em_estabelecimentos,
   CAST(pd.deaths AS BIGINT) AS total_obitos,
   round(pd.deaths / (city.n * 1000.0) * 1000, 2) AS taxa_mortalidade_geral,
-  city.FURNITURE AS mortalidade_infantil, city.place * 10.0 + 100 AS area_territorial,
+  city.FURNITURE AS mortalidade_infantil, CAST(city.place * 10 + 100 AS DOUBLE) AS area_territorial,
   round(city.n * 1000.0 / (city.place * 10.0 + 100), 4) AS densidade_demografica,
   city.BUILDING AS matriculas_ensino_medio,
   round(city.balance * 100, 6) AS total_receitas_brutas, round(city.balance * 90, 6) AS total_despesas_brutas,

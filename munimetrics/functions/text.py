@@ -18,6 +18,10 @@ BLANKS = " \t\n\r\v\f\u0085\u00a0"
 LONG_FORM_BLOCKS = r"[\u00BC-\u00BE\u0132-\u0149\u01C4-\u01F3\u2024-\u218F\uFB00-\uFB06]"
 
 
+# Fixed value: blocks that hold every letter whose capital differs from its title form.
+SPECIAL_CAPITALS = r"[\u00DF\u0149\u01C4-\u01F3\u0390\u03B0\u0587\u1C80-\u1CBF\u10D0-\u10FF\u1E96-\u1FFC\uFB00-\uFB17]"
+
+
 def _ascii_form(char: str) -> str:
     return unicodedata.normalize("NFKD", char).encode("ascii", "ignore").decode()
 
@@ -73,11 +77,17 @@ def title_case(text: Column) -> Column:
     """Trim and start every word with a capital; a word starts after any character that is no letter or digit.
 
     ``initcap`` starts words after a blank only, so a marked blank is put behind every other separator
-    and taken away again.
+    and taken away again. It also knows title forms (``ss`` for a sharp s is ``Ss``) where full capitals
+    (``SS``) are wanted, so texts with such letters are taken word by word.
     """
-    mark = "\ue000 "
-    spread = F.regexp_replace(F.trim(text, F.lit(BLANKS)), r"([^\p{L}\p{N} ])", "$1" + mark)
-    return F.replace(F.initcap(spread), F.lit(mark), F.lit(""))
+    trimmed, mark = F.trim(text, F.lit(BLANKS)), "\ue000 "
+    spread = F.regexp_replace(trimmed, r"([^\p{L}\p{N} ])", "$1" + mark)
+    whole = F.replace(F.initcap(spread), F.lit(mark), F.lit(""))
+    words = F.regexp_extract_all(F.lower(trimmed), F.lit(r"[\p{L}\p{N}]+|[^\p{L}\p{N}]+"), F.lit(0))
+    by_word = F.array_join(
+        F.transform(words, lambda word: F.concat(F.upper(F.left(word, F.lit(1))), F.substring(word, 2, 2**31 - 1))), ""
+    )
+    return F.when(trimmed.rlike(SPECIAL_CAPITALS), by_word).otherwise(whole)
 
 
 def title_case_strings(df: DataFrame) -> DataFrame:

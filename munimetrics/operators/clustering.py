@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.sql import Column, DataFrame
@@ -303,13 +305,20 @@ def kmeans_best_of(
     restarts: int = 20,
     seed: int = 42,
     name: str = "label",
+    parallelism: int = 8,
 ) -> DataFrame:
-    """K-means with the lowest cost of several starts. Returns the key and the label."""
+    """K-means with the lowest cost of several starts. Returns the key and the label.
+
+    The starts are independent jobs of short stages, so several are kept running at once.
+    """
     vectors = assembled(df, features, [key]).persist()
+
+    def fit(start: int):
+        return KMeans(k=k, seed=seed + start, featuresCol=_VECTOR, predictionCol=name).fit(vectors)
+
     try:
-        models = (
-            KMeans(k=k, seed=seed + i, featuresCol=_VECTOR, predictionCol=name).fit(vectors) for i in range(restarts)
-        )
+        with ThreadPool(parallelism) as pool:
+            models = pool.map(inheritable_thread_target(df.sparkSession)(fit), range(restarts))
         best = min(models, key=lambda model: model.summary.trainingCost)
     finally:
         vectors.unpersist()

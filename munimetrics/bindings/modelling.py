@@ -113,25 +113,25 @@ def _plane(spark: SparkSession, folder: str) -> DataFrame:
     return roles.part_features(spark, folder).select("p_partkey", F.col("quantity").alias("x"), (F.col("size") * 10).alias("y"))
 
 
-_PLANE_SQL = f"{FEATURES_SQL}, plane AS (SELECT p_partkey AS id, quantity AS x, size * 10 AS y FROM features)"
+_PLANE_SQL = f"{FEATURES_SQL}, plane AS MATERIALIZED (SELECT p_partkey AS id, quantity AS x, size * 10 AS y FROM features)"
 
 
 def _density_sql(name: str, source: str, eps: float, min_samples: int, min_size: int) -> str:
     near = f"(a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= {eps * eps}"
-    return f"""{name}_core AS (SELECT a.id, a.x, a.y FROM {source} a JOIN {source} b ON {near}
+    return f"""{name}_core AS MATERIALIZED (SELECT a.id, a.x, a.y FROM {source} a JOIN {source} b ON {near}
   GROUP BY a.id, a.x, a.y HAVING count(*) >= {min_samples}),
-{name}_edge AS (SELECT a.id AS s, b.id AS t FROM {name}_core a JOIN {name}_core b ON {near}),
+{name}_edge AS MATERIALIZED (SELECT a.id AS s, b.id AS t FROM {name}_core a JOIN {name}_core b ON {near}),
 {name}_reach AS (SELECT id, id AS low FROM {name}_core UNION
   SELECT t, min(low) FROM {name}_reach JOIN {name}_edge ON s = id GROUP BY t),
-{name}_part AS (SELECT id, min(low) AS low FROM {name}_reach GROUP BY id),
+{name}_part AS MATERIALIZED (SELECT id, min(low) AS low FROM {name}_reach GROUP BY id),
 {name}_number AS (SELECT low, row_number() OVER (ORDER BY low) - 1 AS number
   FROM (SELECT low FROM {name}_part GROUP BY low HAVING count(*) >= {min_size})),
-{name} AS (SELECT p.id, p.x, p.y, CAST(coalesce(number, -1) AS INTEGER) AS cluster
+{name} AS MATERIALIZED (SELECT p.id, p.x, p.y, CAST(coalesce(number, -1) AS INTEGER) AS cluster
   FROM {source} p LEFT JOIN {name}_part USING (id) LEFT JOIN {name}_number USING (low))"""
 
 
-_FIRST = dict(eps=14.0, min_samples=14, min_size=40)
-_SECOND = dict(eps=22.0, min_samples=10, min_size=20)
+_FIRST = dict(eps=26.0, min_samples=20, min_size=15)
+_SECOND = dict(eps=32.0, min_samples=16, min_size=12)
 
 
 @bound(
@@ -149,7 +149,7 @@ def density_cluster(spark: SparkSession, folder: str) -> DataFrame:
 @bound(
     "recluster_noise",
     f"""WITH RECURSIVE {_PLANE_SQL}, {_density_sql('first', 'plane', **_FIRST)},
-noise AS (SELECT id, x, y FROM first WHERE cluster = -1), {_density_sql('second', 'noise', **_SECOND)}
+noise AS MATERIALIZED (SELECT id, x, y FROM first WHERE cluster = -1), {_density_sql('second', 'noise', **_SECOND)}
 SELECT f.id AS p_partkey, CAST(CASE WHEN f.cluster = -1 AND s.cluster <> -1
   THEN s.cluster + (SELECT max(cluster) + 1 FROM first) ELSE f.cluster END AS INTEGER) AS cluster
 FROM first f LEFT JOIN second s ON s.id = f.id""",

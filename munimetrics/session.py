@@ -50,9 +50,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the rows survive the loss of any executor."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write the rows below the shared folder and read them back: they survive the loss of any executor.
+
+    Unlike a checkpoint, the written table is computed once, brings its size to later join planning, and
+    starts without the constraints of the old plan, which grow from round to round in iterative jobs.
+    """
+    path = scratch_path(df.sparkSession, "step")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

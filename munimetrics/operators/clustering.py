@@ -185,7 +185,7 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         hooks = cut_lineage(hooks)
         if hooks.isEmpty():
             return labels
-        for _ in range(2):
+        for _ in range(4):
             onward = hooks.select(F.col("root").alias("parent"), F.col("parent").alias("above"))
             hooks = hooks.join(onward, "parent", "left").select(
                 "root", F.coalesce("above", "parent").alias("parent")

@@ -128,6 +128,14 @@ def filter_active_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     return municipal.active(roles.facilities(spark, folder)).select("CO_UNIDADE", "CO_CNES")
 
 
+@bound(
+    "active_facilities",
+    f"WITH {roles.FACILITIES_SQL} SELECT CAST(count(DISTINCT unit) AS BIGINT) AS estabelecimentos_ativos FROM facilities WHERE active",
+)
+def active_facilities(spark: SparkSession, folder: str) -> DataFrame:
+    return municipal.active_count(roles.facilities(spark, folder))
+
+
 @bound(
     "semi_join_active",
     f"""WITH {roles.FACILITIES_SQL}, {roles.BEDS_SQL}

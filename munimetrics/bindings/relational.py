@@ -94,10 +94,8 @@ def pivot_dynamic(spark: SparkSession, folder: str) -> DataFrame:
 FROM lineitem GROUP BY ALL""",
 )
 def group_by_all(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.sql(
-        """SELECT l_returnflag, l_linestatus, count(*) AS n, sum(l_quantity) AS quantity
-           FROM {lineitem} GROUP BY ALL""",
-        lineitem=table(spark, folder, "lineitem"),
+    return agg.group_by_all(
+        table(spark, folder, "lineitem"), "l_returnflag", "l_linestatus", "count(*) AS n", "sum(l_quantity) AS quantity"
     )
 
 

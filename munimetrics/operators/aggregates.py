@@ -42,11 +42,9 @@ def distinct_by_flags(df: DataFrame, by: str, entity: str, flags: Mapping[str, C
     )
 
 
-def group_by_all(df: DataFrame, aggregates: Mapping[str, Column]) -> DataFrame:
-    """Aggregate by every column of ``df`` that no aggregate needs to be told about."""
-    return df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(
-        *[value.alias(name) for name, value in aggregates.items()]
-    )
+def group_by_all(df: DataFrame, *select: str) -> DataFrame:
+    """SQL select items over ``df``, grouped by every item that is no aggregate."""
+    return df.sparkSession.sql(f"SELECT {', '.join(select)} FROM {{rows}} GROUP BY ALL", rows=df)
 
 
 def pivot_columns(category: Column, amount: Column, values: Sequence[str]) -> list[Column]:

@@ -15,7 +15,7 @@ from munimetrics.functions.scalars import (
 from munimetrics.functions.text import lower_columns
 from munimetrics.operators import clustering, features as prep, stats
 from munimetrics.operators.aggregates import crosstab
-from munimetrics.operators.joins import join_admissions
+from munimetrics.operators.joins import check_unique, join_admissions
 from munimetrics.session import cut_lineage
 from munimetrics.sources.tables import run_metadata, write_csv, write_metadata
 
@@ -53,7 +53,8 @@ def analyse(
 ) -> dict[str, DataFrame]:
     """Run the whole analysis, write every report below ``outdir`` and return the frames by report name."""
     settings = settings or Settings()
-    base = cut_lineage(prepare(municipal, admissions))
+    # Labels come back by key, so a repeated key would multiply rows.
+    base = check_unique(cut_lineage(prepare(municipal, admissions)), key, "municipal table")
     features = present(base, config.HEALTH_FEATURES)
     scaled = prep.standardize(base.select(key, *[F.col(f"`{c}`") for c in features]), features)
 

@@ -13,7 +13,9 @@ from munimetrics.functions.scalars import recode_columns, remap_codes
 from munimetrics.functions.text import title_case_strings
 from munimetrics.operators.dedup import dedup_ignoring_snapshot, latest_per_key
 from munimetrics.operators.joins import lookup
-from munimetrics.sources.files import base_table_name, list_files, scan_city_sheets, scan_file, union_aligned, with_snapshot_date
+from munimetrics.sources.files import (
+    STEM_PATTERN, base_table_name, list_files, scan_city_sheets, scan_file, union_aligned, with_snapshot_date,
+)
 from munimetrics.sources.tables import load_cities, write_parquet
 
 
@@ -77,6 +79,21 @@ def ingest_cities(spark: SparkSession, sheet_folder: str, out_path: str) -> Data
     return load_cities(scan_city_sheets(spark, sheet_folder), out_path)
 
 
+def ingest_deaths(spark: SparkSession, path: str, municipalities: DataFrame, out_path: str) -> DataFrame:
+    return write_parquet(clean_deaths(scan_file(spark, path), municipalities), out_path)
+
+
+def ingest_census(spark: SparkSession, folder: str, out_folder: str, suffix: str = ".csv") -> dict[str, DataFrame]:
+    """Census tables saved as CSV, one file each: ``codigo`` stays text, every other column is a number."""
+    files = list_files(spark, folder, suffix).select(F.regexp_extract("path", STEM_PATTERN, 1).alias("name"), "path")
+    written = {}
+    for row in files.orderBy("path").collect():
+        table = scan_file(spark, row["path"])
+        numbers = {c: F.col(f"`{c}`").try_cast("double") for c in table.columns if c != "codigo"}
+        written[row["name"]] = write_parquet(table.withColumns(numbers), os.path.join(out_folder, row["name"]))
+    return written
+
+
 def register_tables(spark: SparkSession, tables: Mapping[str, DataFrame]) -> None:
     """Expose tables to SQL under their names."""
     for name, df in tables.items():

@@ -40,11 +40,37 @@ def active(facilities: DataFrame, null_is_active: bool = False) -> DataFrame:
     return facilities.where(condition | reason.isNull() if null_is_active else condition)
 
 
+def active_count(facilities: DataFrame, null_is_active: bool = False) -> DataFrame:
+    """Number of distinct active facilities, in one row."""
+    return active(facilities, null_is_active).agg(F.count_distinct("CO_CNES").alias("estabelecimentos_ativos"))
+
+
+def registry_of(
+    tables: Mapping[str, DataFrame], deaths: DataFrame, cities: DataFrame, census: Mapping[str, DataFrame]
+) -> Registry:
+    """A registry from ingested tables under their usual names."""
+    return Registry(
+        facilities=tables["tbestabelecimento"],
+        beds=tables["rlestabcomplementar"],
+        deaths=deaths,
+        municipalities=tables["tbmunicipio"],
+        unit_types=tables["tbtipounidade"],
+        workers=tables["tbcargahorariasus"],
+        occupations=tables["tbatividadeprofissional"],
+        cities=cities,
+        census=census,
+        facility_types=tables.get("tbtipoestabelecimento"),
+        activities=tables.get("tbatividade"),
+    )
+
+
 def beds_per_facility(beds: DataFrame, facilities: DataFrame | None, snapshot: str) -> DataFrame:
     """Existing and public beds per facility in one snapshot; ``facilities`` limits which ones count."""
     rows = beds.where(F.col("data_competencia") == snapshot)
     sums = rows.groupBy("CO_UNIDADE").agg(
-        F.sum("QT_EXIST").alias("leitos_existentes"), F.sum("QT_SUS").alias("leitos_sus")
+        # Counts are text when they come from CSV.
+        F.sum(F.col("QT_EXIST").try_cast("bigint")).alias("leitos_existentes"),
+        F.sum(F.col("QT_SUS").try_cast("bigint")).alias("leitos_sus"),
     )
     return sums if facilities is None else sums.join(facilities.select("CO_UNIDADE"), "CO_UNIDADE", "left_semi")
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from munimetrics.llm import bytecnn, decontam, exactdedup, packing, simhash
+from munimetrics.llm import archives, bytecnn, dac, decontam, exactdedup, packing, simhash
 from munimetrics.llm.common import crc_fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,3 +94,29 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "doc_id", (crc_fold(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", F.col("lang_score").alias("score")
     )
+
+
+@_bound(
+    "op6_warc_archive",
+    """
+    WITH told AS (
+        SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+        FROM pages
+    ), owned AS (
+        SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS owner FROM told
+    )
+    SELECT page_id, payload_bytes, payload_digest,
+           CASE WHEN owner IS NULL OR owner = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN owner <> page_id THEN owner END AS refers_to
+    FROM owned
+    """,
+)
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    found = archives.read_warc(spark, archives.convert(spark, archives.write_arc(_table(spark, folder, "pages"))))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@_bound("op8_token_files")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    path = dac.write_tokens(_table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"))
+    return dac.read_tokens(spark, path).withColumnRenamed("id", "doc_id")

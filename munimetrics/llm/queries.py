@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from munimetrics.llm import archives, bytecnn, dac, decontam, exactdedup, packing, simhash
+from munimetrics.llm import archives, bytecnn, dac, decontam, exactdedup, lmscore, packing, quality, simhash, templates
 from munimetrics.llm.common import crc_fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -120,3 +120,23 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     path = dac.write_tokens(_table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"))
     return dac.read_tokens(spark, path).withColumnRenamed("id", "doc_id")
+
+
+@_bound("op9_context_tree_score")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return lmscore.score(_table(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@_bound("op10_quality")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    rows = quality.classify(docs, _table(spark, folder, "labels"))
+    return rows.select(
+        F.col("id").alias("doc_id"), (crc_fold(F.col("id"), 3) == 1).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+@_bound("op7_extract_text")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return templates.extract(_table(spark, folder, "pages")).withColumnRenamed("id", "page_id")

@@ -8,7 +8,7 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 _TAG = re.compile(
-    r"<(?:!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|(/?)([a-zA-Z][^\s/>]*)([^>]*)>)",
+    r"<(?:!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>)",
     re.DOTALL,
 )
 _ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -78,8 +78,9 @@ def walk(source: str) -> Iterator[Element | Text]:
     stack: tuple[Element, ...] = ()
     block = number = at = 0
     lowered: str | None = None
+    last = max(source.rfind(">"), source.rfind("<!"), source.rfind("<?"))  # no tag ends or opens for good behind it
     while True:
-        found = _TAG.search(source, at)
+        found = _TAG.search(source, at) if at <= last else None
         text = source[at : found.start() if found else len(source)]
         if text:
             yield Text(stack, block, html.unescape(text))

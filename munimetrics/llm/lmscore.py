@@ -28,7 +28,8 @@ DEPTH = 5
 CHUNK_BYTES = 24 << 20
 BUCKETS = 64
 CHUNKS_PER_TASK = 64
-_PART_BYTES = 4 << 20
+_PART_BYTES = 1 << 20
+_MERGE_KEYS = 2 << 20
 
 _PACKED = "chunk long, bucket int, kind string, keys binary, values binary"
 _NAMES = ["chunk", "bucket", "kind", "keys", "values"]
@@ -47,10 +48,10 @@ def _keys(packed: bytes) -> np.ndarray:
     return np.cumsum(np.frombuffer(packed, "<u8"), dtype=np.uint64)
 
 
-def _add(one: tuple[np.ndarray, np.ndarray], two: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Sum of two counted sets of keys."""
-    keys, back = np.unique(np.concatenate([one[0], two[0]]), return_inverse=True)
-    return keys, np.bincount(back, np.concatenate([one[1], two[1]]), len(keys))
+def _add(*sets: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Sum of counted sets of keys."""
+    keys, back = np.unique(np.concatenate([s[0] for s in sets]), return_inverse=True)
+    return keys, np.bincount(back, np.concatenate([s[1] for s in sets]), len(keys))
 
 
 _EMPTY = (np.zeros(0, np.uint64), np.zeros(0))
@@ -106,7 +107,7 @@ def _counted(depth: int, buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk, parts in _chunks(batches):
-            words, asked, grams, ends = Counter(), set(), _EMPTY, 0
+            words, asked, found, ends = Counter(), set(), [_EMPTY], 0
             for part in parts:
                 texts = [t.lower() for t in byte_texts(part.column("text"))]
                 train = part.column("train").to_pylist()
@@ -116,12 +117,15 @@ def _counted(depth: int, buckets: int):
                         if not own:
                             continue
                         keys, counts = np.unique(tree.gram_keys(own, depth)[0], return_counts=True)
-                        grams = _add(grams, (keys, counts * float(flag)))
+                        found.append((keys, counts * float(flag)))
+                        if sum(len(k) for k, _ in found[1:]) > _MERGE_KEYS:
+                            found = [_add(*found)]
                         for text in own:
                             words.update(text.split()) if flag else asked.update(text.split())
                         ends += flag * len(own)
             for word in asked:
                 words.setdefault(word, 0)
+            grams = _add(*found)
             place = _gram_bucket(grams[0], depth, buckets)
             rows = [(chunk, -1, "end", b"", np.array([ends], "<u4").tobytes())]
             for bucket in range(buckets):

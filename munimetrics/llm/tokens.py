@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 
 import numpy as np
 
@@ -11,25 +12,56 @@ import numpy as np
 _RUN = re.compile(r"  |\s \s|\s $")
 
 
+#: Signs that the pre-tokenizers keep apart from letters before them (an apostrophe may start a suffix).
+_TAIL = ".,;:!?%&*$#|"
+
+
 class ChunkEncoder:
     """Encodes texts with a tokenizer file, piece by piece between single spaces.
 
     Both kinds of pre-tokenizers in use never join what stands before a space to what stands after it, so a text
-    is the sequence of its chunks (a chunk keeps the space before it), and equal chunks have equal ids. Texts with
-    runs of white space are encoded whole. At most ``chunks`` encodings are remembered.
+    is the sequence of its chunks (a chunk keeps the space before it), and equal chunks have equal ids. A chunk of
+    letters and closing signs is the ids of the letters and those of the signs. Texts with runs of white space are
+    encoded whole. At most ``chunks`` chunks and ``words`` encoded words are remembered.
     """
 
-    def __init__(self, path: str, chunks: int = 400_000):
+    def __init__(self, path: str, chunks: int = 500_000, words: int = 900_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.chunks, self.words = chunks, words
         self.known: dict[str, bytes] = {}
-        self.chunks = chunks
+        self.encoded: dict[str, bytes] = {}
+        same = self._encode(["AbC", "abc", " abc"])
+        self.folds, self.strips = same[0] == same[1], same[1] == same[2]
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        return [np.array(e.ids, "<u4").tobytes() if len(e.ids) > 64 else struct.pack(f"<{len(e.ids)}I", *e.ids) for e in found]
+
+    def _split(self, chunk: str) -> tuple[str, str]:
+        word = chunk.rstrip(_TAIL)
+        letters = word[1:] if word[:1] == " " else word
+        if not letters.isalpha():
+            return chunk, ""
+        tail = chunk[len(word) :]
+        if self.folds and letters.isascii():
+            word, letters = word.lower(), letters.lower()
+        return (letters if self.strips else word), tail
+
+    def _learn(self, new: set[str]) -> None:
+        if len(self.known) + len(new) > self.chunks:
+            self.known = {}
+        split = {chunk: self._split(chunk) for chunk in new}
+        words = {p for pair in split.values() for p in pair}.difference(self.encoded)
+        if len(self.encoded) + len(words) > self.words:
+            self.encoded = {}
+            words = {p for pair in split.values() for p in pair}
+        listed = list(words)
+        self.encoded.update(zip(listed, self._encode(listed)))
+        encoded = self.encoded
+        self.known.update((chunk, encoded[a] + encoded[b] if b else encoded[a]) for chunk, (a, b) in split.items())
 
     def ids(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
@@ -42,10 +74,8 @@ class ChunkEncoder:
         new = set(parts).difference(self.known)
         if new:
             if len(self.known) + len(new) > self.chunks:
-                self.known = {}
                 new = set(parts)
-            new = list(new)
-            self.known.update(zip(new, self._encode(new)))
+            self._learn(new)
         return b"".join(map(self.known.__getitem__, parts))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 import struct
+from itertools import filterfalse
 
 import numpy as np
 
@@ -20,7 +21,7 @@ class ChunkEncoder:
     """Encodes texts with a tokenizer file, piece by piece between single spaces.
 
     Both kinds of pre-tokenizers in use never join what stands before a space to what stands after it, so a text
-    is the sequence of its chunks (a chunk keeps the space before it), and equal chunks have equal ids. A chunk of
+    is the sequence of its chunks, each with the space before it, and equal chunks have equal ids. A chunk of
     letters and closing signs is the ids of the letters and those of the signs. Texts with runs of white space are
     encoded whole. At most ``chunks`` chunks and ``words`` encoded words are remembered.
     """
@@ -41,18 +42,16 @@ class ChunkEncoder:
         return [np.array(e.ids, "<u4").tobytes() if len(e.ids) > 64 else struct.pack(f"<{len(e.ids)}I", *e.ids) for e in found]
 
     def _split(self, chunk: str) -> tuple[str, str]:
+        """What is encoded for a space and ``chunk``."""
         word = chunk.rstrip(_TAIL)
-        letters = word[1:] if word[:1] == " " else word
-        if not letters.isalpha():
-            return chunk, ""
+        if not word.isalpha():
+            return " " + chunk, ""
         tail = chunk[len(word) :]
-        if self.folds and letters.isascii():
-            word, letters = word.lower(), letters.lower()
-        return (letters if self.strips else word), tail
+        if self.folds and word.isascii():
+            word = word.lower()
+        return (word if self.strips else " " + word), tail
 
     def _learn(self, new: set[str]) -> None:
-        if len(self.known) + len(new) > self.chunks:
-            self.known = {}
         split = {chunk: self._split(chunk) for chunk in new}
         words = {p for pair in split.values() for p in pair}.difference(self.encoded)
         if len(self.encoded) + len(words) > self.words:
@@ -69,14 +68,15 @@ class ChunkEncoder:
             return b""
         if _RUN.search(text):
             return self._encode([text])[0]
-        first, *rest = text.split(" ")
-        parts = [first, *map(" ".__add__, rest)] if first else list(map(" ".__add__, rest))
-        new = set(parts).difference(self.known)
+        first, *parts = text.split(" ")
+        new = set(filterfalse(self.known.__contains__, parts))
         if new:
             if len(self.known) + len(new) > self.chunks:
+                self.known = {}
                 new = set(parts)
             self._learn(new)
-        return b"".join(map(self.known.__getitem__, parts))
+        start = self._encode([first])[0] if first else b""
+        return start + b"".join(map(self.known.__getitem__, parts))
 
 
 _ENCODERS: dict[str, ChunkEncoder] = {}

@@ -18,7 +18,7 @@ CUSTOMER_REASON = "CASE WHEN c_acctbal > 0 THEN '' WHEN c_custkey % 2 = 0 THEN '
 
 @bound(
     "scan_delimited",
-    f"""SELECT lpad(CAST(c_custkey AS VARCHAR), 7, '0') AS CO_UNIDADE, c_name || ' São "x"; y' AS NO_FANTASIA,
+    f"""SELECT lpad(CAST(c_custkey AS VARCHAR), greatest(7, length(CAST(c_custkey AS VARCHAR)))::INTEGER, '0') AS CO_UNIDADE, c_name || ' São "x"; y' AS NO_FANTASIA,
        {CUSTOMER_REASON} AS CO_MOTIVO_DESAB FROM customer""",
 )
 def scan_delimited(spark: SparkSession, folder: str) -> DataFrame:
@@ -84,7 +84,7 @@ SHEETS_SQL = "SELECT c_name AS nome, {code} AS codigo_municipio, {numbers}, 'N'
 _NUMBERS_SQL = ", ".join(
     f"CAST(regexp_replace({sql}, '-', '0') AS DOUBLE) AS {name}" for name, sql in SHEET_NUMBERS.items()
 )
-_FULL_CODE = "lpad(CAST(c_custkey AS VARCHAR), 7, '0')"
+_FULL_CODE = "lpad(CAST(c_custkey AS VARCHAR), greatest(7, length(CAST(c_custkey AS VARCHAR)))::INTEGER, '0')"
 
 
 @bound("sheet_rows_clean", SHEETS_SQL.format(code=_FULL_CODE, numbers=_NUMBERS_SQL))

@@ -121,7 +121,7 @@ def care_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 @bound(
     "filter_active_snapshot",
-    f"""WITH {roles.FACILITIES_SQL} SELECT lpad(CAST(unit AS VARCHAR), 7, '0') AS CO_UNIDADE, CAST(unit AS VARCHAR) AS CO_CNES
+    f"""WITH {roles.FACILITIES_SQL} SELECT lpad(CAST(unit AS VARCHAR), greatest(7, length(CAST(unit AS VARCHAR)))::INTEGER, '0') AS CO_UNIDADE, CAST(unit AS VARCHAR) AS CO_CNES
 FROM facilities WHERE active""",
 )
 def filter_active_snapshot(spark: SparkSession, folder: str) -> DataFrame:
@@ -139,7 +139,7 @@ def active_facilities(spark: SparkSession, folder: str) -> DataFrame:
 @bound(
     "semi_join_active",
     f"""WITH {roles.FACILITIES_SQL}, {roles.BEDS_SQL}
-SELECT lpad(CAST(unit AS VARCHAR), 7, '0') AS CO_UNIDADE, n AS QT_EXIST, sus AS QT_SUS FROM beds
+SELECT lpad(CAST(unit AS VARCHAR), greatest(7, length(CAST(unit AS VARCHAR)))::INTEGER, '0') AS CO_UNIDADE, n AS QT_EXIST, sus AS QT_SUS FROM beds
 WHERE snapshot = '{roles.SNAPSHOT}' AND unit IN (SELECT unit FROM facilities WHERE active)""",
 )
 def semi_join_active(spark: SparkSession, folder: str) -> DataFrame:
@@ -151,7 +151,7 @@ def semi_join_active(spark: SparkSession, folder: str) -> DataFrame:
 @bound(
     "agg_beds",
     f"""WITH {roles.FACILITIES_SQL}, {roles.BEDS_SQL}
-SELECT lpad(CAST(unit AS VARCHAR), 7, '0') AS CO_UNIDADE, CAST(sum(n) AS BIGINT) AS leitos_existentes,
+SELECT lpad(CAST(unit AS VARCHAR), greatest(7, length(CAST(unit AS VARCHAR)))::INTEGER, '0') AS CO_UNIDADE, CAST(sum(n) AS BIGINT) AS leitos_existentes,
        CAST(sum(sus) AS BIGINT) AS leitos_sus
 FROM beds WHERE snapshot = '{roles.SNAPSHOT}' AND unit IN (SELECT unit FROM facilities WHERE active) GROUP BY unit""",
 )
@@ -165,7 +165,7 @@ def agg_beds(spark: SparkSession, folder: str) -> DataFrame:
     f"""WITH {roles.FACILITIES_SQL}, {roles.BEDS_SQL},
 types(unit_type, name) AS (VALUES {", ".join(f"({i}, {quoted(n)})" for i, n in enumerate([*config.FACILITY_TYPES, roles.OTHER_TYPE]))}),
 unit_beds AS (SELECT unit, sum(n) AS beds, sum(sus) AS sus FROM beds WHERE snapshot = '{roles.SNAPSHOT}' GROUP BY unit)
-SELECT lpad(CAST(f.unit AS VARCHAR), 7, '0') AS CO_UNIDADE, r_name AS CO_SIGLA_ESTADO, n_name AS NO_MUNICIPIO,
+SELECT lpad(CAST(f.unit AS VARCHAR), greatest(7, length(CAST(f.unit AS VARCHAR)))::INTEGER, '0') AS CO_UNIDADE, r_name AS CO_SIGLA_ESTADO, n_name AS NO_MUNICIPIO,
        name AS DS_TIPO_UNIDADE, CAST(beds AS BIGINT) AS leitos_existentes, CAST(sus AS BIGINT) AS leitos_sus
 FROM facilities f LEFT JOIN nation ON n_nationkey = place LEFT JOIN region ON r_regionkey = n_regionkey
 LEFT JOIN types ON types.unit_type = f.unit_type LEFT JOIN unit_beds b ON b.unit = f.unit WHERE active""",
@@ -191,7 +191,7 @@ def wide_left_joins(spark: SparkSession, folder: str) -> DataFrame:
 
 @bound(
     "inner_chain",
-    """SELECT lpad(CAST(l_suppkey AS VARCHAR), 7, '0') AS CO_UNIDADE, l_orderkey AS CO_PROFISSIONAL_SUS, s_name AS nome_fantasia,
+    """SELECT lpad(CAST(l_suppkey AS VARCHAR), greatest(7, length(CAST(l_suppkey AS VARCHAR)))::INTEGER, '0') AS CO_UNIDADE, l_orderkey AS CO_PROFISSIONAL_SUS, s_name AS nome_fantasia,
        upper(p_name) AS atividade_profissional, n_name AS municipio
 FROM lineitem JOIN supplier ON s_suppkey = l_suppkey AND s_suppkey % 17 <> 0
 JOIN part ON p_partkey = l_partkey JOIN nation ON n_nationkey = s_nationkey""",

@@ -14,7 +14,7 @@ from munimetrics.operators import joins, serving
 @bound(
     "join_prefix_key",
     """SELECT o_orderkey, c_acctbal AS total FROM orders LEFT JOIN customer
-  ON substring(lpad(CAST(c_custkey AS VARCHAR), 6, '0') || '9', 1, 6) = lpad(CAST(o_custkey AS VARCHAR), 6, '0')""",
+  ON substring(lpad(CAST(c_custkey AS VARCHAR), greatest(6, length(CAST(c_custkey AS VARCHAR)))::INTEGER, '0') || '9', 1, 6) = lpad(CAST(o_custkey AS VARCHAR), greatest(6, length(CAST(o_custkey AS VARCHAR)))::INTEGER, '0')""",
 )
 def join_prefix_key(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders").select("o_orderkey", roles.padded(F.col("o_custkey"), 6).alias("codigo"))

@@ -21,7 +21,9 @@ SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
 
 def padded(number: Column, width: int) -> Column:
-    return F.lpad(number.cast("string"), width, "0")
+    """Zeros in front up to the width; a longer number stays whole."""
+    digits = number.cast("string")
+    return F.lpad(digits, F.greatest(F.length(digits), F.lit(width)), F.lit("0"))
 
 
 def place_code(nation: Column) -> Column:
@@ -174,7 +176,7 @@ def part_features(spark: SparkSession, folder: str) -> DataFrame:
 FEATURES = ["lines", "quantity", "price", "discount", "tax", "size"]
 
 # The same roles in SQL.
-PLACE = "'11' || lpad(CAST({} AS VARCHAR), 4, '0')"
+PLACE = "'11' || lpad(CAST({0} AS VARCHAR), greatest(4, length(CAST({0} AS VARCHAR)))::INTEGER, '0')"
 FACILITIES_SQL = f"""
 facilities AS (
   SELECT s_suppkey AS unit, CASE WHEN s_suppkey % 17 = 0 THEN NULL ELSE s_nationkey END AS place,

@@ -59,13 +59,15 @@ def clean_label(text: Column) -> Column:
 
 
 def clean_columns(df: DataFrame) -> DataFrame:
-    """The rule of ``clean_label`` on column names."""
-    def cleaned(name: str) -> str:
-        text = _ascii_form(re.sub(r"<.*?>", "", name))
-        text = re.sub(r"[^a-zA-Z0-9_]", "", re.sub(r"[\s\-]+", "_", text))
-        return re.sub(r"_+", "_", text).strip("_").lower()
+    """The rule of ``clean_label`` on column names: the letters and digits of each word, joined by underscores."""
+    in_tag, separators = re.compile("<.*?>"), re.compile("[\\s_-]")
 
-    return df.toDF(*[cleaned(c) for c in df.columns])
+    def label(name: str) -> str:
+        words = separators.split(_ascii_form(in_tag.sub("", name)).lower())
+        kept = ("".join(filter(str.isalnum, word)) for word in words)
+        return "_".join(word for word in kept if word)
+
+    return df.toDF(*map(label, df.columns))
 
 
 def lower_columns(df: DataFrame) -> DataFrame:

@@ -306,6 +306,7 @@ def kmeans_best_of(
     seed: int = 42,
     name: str = "label",
     parallelism: int = 8,
+    iterations: int = 300,
 ) -> DataFrame:
     """K-means with the lowest cost of several starts. Returns the key and the label.
 
@@ -314,7 +315,7 @@ def kmeans_best_of(
     vectors = assembled(df, features, [key]).persist()
 
     def fit(start: int):
-        return KMeans(k=k, seed=seed + start, featuresCol=_VECTOR, predictionCol=name).fit(vectors)
+        return KMeans(k=k, seed=seed + start, maxIter=iterations, featuresCol=_VECTOR, predictionCol=name).fit(vectors)
 
     try:
         with ThreadPool(parallelism) as pool:
@@ -326,12 +327,13 @@ def kmeans_best_of(
 
 
 def hierarchical_clusters(
-    df: DataFrame, key: str, features: Sequence[str], k: int = 5, seed: int = 42, name: str = "label"
+    df: DataFrame, key: str, features: Sequence[str], k: int = 5, seed: int = 42, name: str = "label",
+    iterations: int = 300,
 ) -> DataFrame:
     """Divisive hierarchy cut at ``k`` clusters; labels differ from those of an agglomerative tree."""
     vectors = assembled(df, features, [key]).persist()
     try:
-        model = BisectingKMeans(k=k, seed=seed, featuresCol=_VECTOR, predictionCol=name).fit(vectors)
+        model = BisectingKMeans(k=k, seed=seed, maxIter=iterations, featuresCol=_VECTOR, predictionCol=name).fit(vectors)
     finally:
         vectors.unpersist()
     return model.transform(assembled(df, features, [key])).select(key, name)

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 def dedup_ignoring_snapshot(df: DataFrame, snapshot: str = "data_competencia") -> DataFrame:
     """Rows that differ in the snapshot date only become one row with the latest date.
 
-    An aggregate rather than a sort: repeats collapse before the shuffle, and null equals null.
+    An aggregate: repeats collapse before the shuffle, and null equals null. A snapshot kept as text makes
+    Spark sort each task's rows for it.
     """
     others = [c for c in df.columns if c != snapshot]
     return df.groupBy(*[F.col(f"`{c}`") for c in others]).agg(F.max(snapshot).alias(snapshot)).select(*df.columns)
@@ -54,8 +55,8 @@ def latest_per_key(
 ) -> DataFrame:
     """The latest row of each key, ties by the smallest ``tie_break``, with first and last snapshot dates.
 
-    ``min_by`` keeps one candidate per key and map task, so a key with very many rows is never sorted or
-    gathered in one place.
+    ``min_by`` keeps one candidate per key and map task, so no key is gathered in one place. Its buffer is
+    a whole row, which Spark aggregates by sorting each task's rows. Rows with a null key are one group of their own.
     """
     order = F.struct(_age(F.col(snapshot), dict(df.dtypes)[snapshot]), *[F.col(c) for c in tie_break])
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns])

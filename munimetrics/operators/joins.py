@@ -16,13 +16,16 @@ def keep_matching(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
 def lookup(
     df: DataFrame, dictionary: DataFrame, key: str, dictionary_key: str, columns: Sequence[str], how: str = "left"
 ) -> DataFrame:
-    """Add dictionary columns to the rows of ``df``; keys of different types are compared as strings.
+    """Add dictionary columns to the rows of ``df``; a number and a text are compared as numbers.
 
     The dictionary key is not kept; list it in ``columns`` under another name if it is needed.
     """
     left, right = F.col(f"`{key}`"), F.col(f"`{dictionary_key}`")
-    if dict(df.dtypes)[key] != dict(dictionary.dtypes)[dictionary_key]:
-        left, right = left.cast("string"), right.cast("string")
+    kinds = dict(df.dtypes)[key], dict(dictionary.dtypes)[dictionary_key]
+    if kinds[0] != kinds[1] and "string" in kinds:
+        # ``05`` is 5; a text that is no number matches nothing.
+        exact = all(k in ("string", "tinyint", "smallint", "int", "bigint") for k in kinds)
+        left, right = (c.try_cast("bigint" if exact else "double") for c in (left, right))
     side = dictionary.select(right.alias("_lookup"), *columns)
     return df.join(side, left == F.col("_lookup"), how).drop("_lookup")
 

@@ -57,7 +57,7 @@ def positions(
     all its rows, ``total`` the weight of the group. ``counts`` may hold several rows of one value, told
     apart by further columns.
     """
-    buckets = buckets or min(256, max(8, shuffle_partitions(counts.sparkSession)))
+    buckets = buckets or max(8, 2 * shuffle_partitions(counts.sparkSession))
     cuts = F.array(*[F.lit((i + 1) / buckets) for i in range(buckets - 1)])
     number = F.col(f"`{value}`")
     # One key column that is never null, so null groups match in joins and every step below hashes alike.
@@ -66,10 +66,11 @@ def positions(
 
     # The weight stays in use here, so that this branch reads the same shuffle of counts as the others.
     weighed = grouped.where(F.col(weight) > 0)
-    bounds = weighed.groupBy("_group").agg(F.array_distinct(F.percentile_approx(number, cuts, 2000)).alias("_bounds"))
+    bounds = weighed.groupBy("_group").agg(F.array_distinct(F.percentile_approx(number, cuts, max(2000, 8 * buckets))).alias("_bounds"))
     below = F.size(F.filter("_bounds", lambda bound: bound < number))
     bucketed = grouped.join(bounds, "_group", "left").withColumn("_bucket", F.greatest(below, F.lit(0)))
-    bucketed = bucketed.drop("_bounds")
+    # Rows hashed by group alone would satisfy the windows below and leave a whole group in one task.
+    bucketed = bucketed.drop("_bounds").repartition("_group", "_bucket")
 
     totals = bucketed.groupBy("_group", "_bucket").agg(F.sum(weight).alias("_bucket_total"))
     # From here at most one row per group and bucket.

@@ -13,10 +13,11 @@ from munimetrics.functions.text import dash_as_zero
 
 # Written for a value that is absent, so that an empty string stays an empty string.
 NULL_MARK = "\\N"
-CSV_OPTIONS = {"sep": ";", "encoding": "ISO-8859-1", "header": True, "nullValue": NULL_MARK}
+# Registries double a quote inside quotes; a backslash is a character like any other.
+CSV_OPTIONS = {"sep": ";", "encoding": "ISO-8859-1", "header": True, "nullValue": NULL_MARK, "quote": '"', "escape": '"'}
 
 # Last six digits of a file stem; the "file" may be a dataset folder with part files inside.
-SNAPSHOT_PATTERN = r"(\d{4})(\d{2})\.[A-Za-z]+(?:/[^/]*)?$"
+SNAPSHOT_PATTERN = r"(\d{4})(\d{2})\.[A-Za-z]+(?:\.(?:gz|bz2|zst|lz4|snappy|deflate|xz))?(?:/[^/]*)?$"
 STEM_PATTERN = r"([^/]+)\.[^./]+$"
 
 
@@ -24,7 +25,9 @@ def scan_delimited(spark: SparkSession, path: str | list[str], **options) -> Dat
     """Registry CSV: ``;``, Latin-1, header; every column stays a string so leading zeros survive.
 
     Quoted empty fields are read as ``''`` and unquoted ones as null. All files under ``path`` must
-    share one header; read months with different columns one by one and use ``union_aligned``.
+    share one header; read months with different columns one by one and use ``union_aligned``. Quotes
+    inside a quoted field are doubled. For line breaks inside quotes pass ``multiLine=True``; such a file
+    is read by one task.
     """
     return spark.read.options(**{**CSV_OPTIONS, **options}).csv(path)
 
@@ -61,10 +64,10 @@ def base_table_name(file_name: Column) -> Column:
 
 
 def snapshot_date(file_name: Column) -> Column:
-    """``yyyy-MM-01`` from the last six digits of the file stem."""
+    """``yyyy-MM-01`` from the last six digits of the file stem, null if it does not end in six digits."""
     year = F.regexp_extract(file_name, SNAPSHOT_PATTERN, 1)
     month = F.regexp_extract(file_name, SNAPSHOT_PATTERN, 2)
-    return F.concat(year, F.lit("-"), month, F.lit("-01"))
+    return F.when(year != "", F.concat(year, F.lit("-"), month, F.lit("-01")))
 
 
 def with_snapshot_date(df: DataFrame, file_name: str | None = None, name: str = "data_competencia") -> DataFrame:
@@ -73,15 +76,25 @@ def with_snapshot_date(df: DataFrame, file_name: str | None = None, name: str =
     return df.withColumn(name, snapshot_date(source))
 
 
+def _text_wins(frames: Sequence[DataFrame]) -> list[DataFrame]:
+    """Columns that are text in one frame become text in all: a number and a text have no other common type."""
+    kinds: dict[str, set[str]] = {}
+    for frame in frames:
+        for name, kind in frame.dtypes:
+            kinds.setdefault(name, set()).add(kind)
+    texts = {name for name, found in kinds.items() if len(found) > 1 and "string" in found}
+    return [f.withColumns({c: F.col(f"`{c}`").cast("string") for c in f.columns if c in texts}) for f in frames]
+
+
 def union_aligned(frames: Sequence[DataFrame]) -> DataFrame:
     """Union by name: missing columns become null, types widen, columns come out sorted."""
-    merged = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), frames)
+    merged = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), _text_wins(frames))
     return merged.select(*[F.col(f"`{c}`") for c in sorted(merged.columns)])
 
 
 def union_relaxed(frames: Sequence[DataFrame]) -> DataFrame:
-    """Union of frames with the same columns in which numeric types widen to a common one."""
-    return reduce(lambda left, right: left.unionByName(right), frames)
+    """Union of frames with the same columns: numbers widen to a common type, with text they become text."""
+    return reduce(lambda left, right: left.unionByName(right), _text_wins(frames))
 
 
 def scan_city_sheets(

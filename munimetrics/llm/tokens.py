@@ -3,14 +3,9 @@
 from __future__ import annotations
 
 import os
-import re
 import struct
 from itertools import filterfalse
 
-import numpy as np
-
-#: White space that the cut at single spaces would tear apart: two spaces in a row, or a space between white space.
-_RUN = re.compile(r"  |\s \s|\s $")
 
 
 #: Signs that the pre-tokenizers keep apart from letters before them (an apostrophe may start a suffix).
@@ -32,14 +27,14 @@ class ChunkEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.chunks, self.words = chunks, words
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes | None] = {}
         self.encoded: dict[str, bytes] = {}
         same = self._encode(["AbC", "abc", " abc"])
         self.folds, self.strips = same[0] == same[1], same[1] == same[2]
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() if len(e.ids) > 64 else struct.pack(f"<{len(e.ids)}I", *e.ids) for e in found]
+        return [struct.pack(f"<{len(ids)}I", *ids) for ids in (e.ids for e in found)]
 
     def _split(self, chunk: str) -> tuple[str, str]:
         """What is encoded for a space and ``chunk``."""
@@ -52,7 +47,10 @@ class ChunkEncoder:
         return (word if self.strips else " " + word), tail
 
     def _learn(self, new: set[str]) -> None:
-        split = {chunk: self._split(chunk) for chunk in new}
+        # White space beside a space may belong to one token with it: such a text is encoded whole.
+        split = {chunk: self._split(chunk) for chunk in new if chunk and chunk == chunk.strip()}
+        if len(split) < len(new):
+            self.known.update(dict.fromkeys(new.difference(split)))
         words = {p for pair in split.values() for p in pair}.difference(self.encoded)
         if len(self.encoded) + len(words) > self.words:
             self.encoded = {}
@@ -66,17 +64,23 @@ class ChunkEncoder:
         """The ids as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
-        if _RUN.search(text):
-            return self._encode([text])[0]
-        first, *parts = text.split(" ")
+        parts = text.split(" ")
+        start = b""
+        if not self.strips:
+            first = parts.pop(0)
+            if first != first.strip():
+                return self._encode([text])[0]
+            start = self._encode([first])[0] if first else b""
         new = set(filterfalse(self.known.__contains__, parts))
         if new:
             if len(self.known) + len(new) > self.chunks:
                 self.known = {}
                 new = set(parts)
             self._learn(new)
-        start = self._encode([first])[0] if first else b""
-        return start + b"".join(map(self.known.__getitem__, parts))
+        try:
+            return start + b"".join(map(self.known.__getitem__, parts))
+        except TypeError:  # a chunk that stands for none by itself
+            return self._encode([text])[0]
 
 
 _ENCODERS: dict[str, ChunkEncoder] = {}

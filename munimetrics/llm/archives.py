@@ -147,14 +147,16 @@ def convert(spark: SparkSession, arc: str, smallest: int = SMALLEST_REVISIT) ->
     """Read the ARC files below ``arc`` and write WARC files; returns their folder.
 
     Payloads of at least ``smallest`` bytes with equal SHA-256 are told once: by the smallest page identifier (one
-    that is null never owns another). Rows that repeat the owner's identifier and payload are responses too.
+    that is null never owns another; of rows that repeat it, the smallest address is referred to). Rows that repeat the owner's identifier and payload are responses too.
     """
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.int64(), pa.binary(), pa.binary(), pa.string())
         for part in rows_of(batches, 1):
-            rows = [(p, hashlib.sha256(b).digest()) for _, _, p, b in _arc_rows("", part.column(1)[0].as_py()) if len(b) >= smallest]
-            pages, shas = zip(*rows) if rows else ((), ())
-            yield pa.RecordBatch.from_arrays([pa.array(pages, pa.int64()), pa.array(shas, pa.binary())], ["page", "sha"])
+            rows = [(page, hashlib.sha256(payload).digest(), record.url.encode("utf-8", "surrogateescape"), record.date)
+                    for record, _, page, payload in _arc_rows("", part.column(1)[0].as_py()) if len(payload) >= smallest]
+            columns = zip(*rows) if rows else ((),) * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["page", "sha", "url", "date"])
 
     def responses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["page", "sha", "url", "date", "head", "member"]
@@ -187,32 +189,24 @@ def convert(spark: SparkSession, arc: str, smallest: int = SMALLEST_REVISIT) ->
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["member"])
 
     files = read_files(spark, arc)
-    told = cut_lineage(files.mapInArrow(digests, "page long, sha binary"))
-    owners = told.groupBy("sha").agg(F.min("page").alias("owner"), F.count("*").alias("n")).filter("n > 1 AND owner IS NOT NULL")
-    again = told.join(owners, "sha").filter("page IS NULL OR page <> owner").select("page", "sha", "owner").distinct()
+    told = cut_lineage(files.mapInArrow(digests, "page long, sha binary, url binary, date string"))
+    # The owner's address and date travel with it: what a revisit tells of the record it refers to.
+    first = F.min(F.when(F.col("page").isNotNull(), F.struct("page", "url", "date"))).alias("first")
+    owners = told.groupBy("sha").agg(first, F.count("*").alias("n")).filter("n > 1 AND first IS NOT NULL").select(
+        "sha", F.col("first.page").alias("owner"), F.col("first.url").alias("owner_url"), F.col("first.date").alias("owner_date")
+    )
+    named = told.select("page", "sha").distinct().join(owners, "sha").filter("page IS NULL OR page <> owner").select(
+        F.col("page").alias("a_page"), F.col("sha").alias("a_sha"), "owner", "owner_url", "owner_date"
+    )
+    named = cut_lineage(named)
     shape = "page long, sha binary, url binary, date string, head binary, member binary"
     rows = files.mapInArrow(responses, shape)
-    heads = files.mapInArrow(_owner_heads, "owner long, owner_sha binary, owner_url binary, owner_date string")
-    named = again.join(heads, (again["owner"] == heads["owner"]) & (again["sha"] == heads["owner_sha"])).select(
-        again["page"].alias("a_page"), again["sha"].alias("a_sha"), again["owner"], "owner_url", "owner_date"
-    ).dropDuplicates(["a_page", "a_sha"])
-    named = cut_lineage(named)
     chosen = rows.join(named, rows["page"].eqNullSafe(named["a_page"]) & (rows["sha"] == named["a_sha"]), "left").select(
         "page", "sha", "url", "date", "head", "member", "owner", "owner_url", "owner_date"
     )
     return write_bytes(chosen.mapInArrow(choose, "member binary"), "member", "warc")
 
 
-def _owner_heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Identifier, digest, address and date of every record: what a revisit tells of its owner."""
-    for part in rows_of(batches, 1):
-        rows = [(page, hashlib.sha256(payload).digest(), record.url.encode("utf-8", "surrogateescape"), record.date)
-                for record, _, page, payload in _arc_rows("", part.column(1)[0].as_py()) if page is not None]
-        kinds = (pa.int64(), pa.binary(), pa.binary(), pa.string())
-        columns = zip(*rows) if rows else ((), (), (), ())
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["owner", "owner_sha", "owner_url", "owner_date"])
-
-
 def parse_warc(records: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
     """``(fields, block)`` of each WARC record, field names in lower case; the block has its declared length."""
     for data in records:

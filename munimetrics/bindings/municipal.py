@@ -100,7 +100,7 @@ def _rounded(df: DataFrame) -> DataFrame:
 @bound("wide_municipal_table", MUNICIPAL_SQL)
 def wide_municipal_table(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(
-        municipal.municipal_table(roles.registry(spark, folder), roles.SNAPSHOT, roles.PHYSICIAN, roles.NURSE)
+        municipal.municipal_table(roles.registry(spark, folder, True), roles.SNAPSHOT, roles.PHYSICIAN, roles.NURSE)
     )
 
 

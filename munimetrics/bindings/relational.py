@@ -48,9 +48,8 @@ def geo_left_join(spark: SparkSession, folder: str) -> DataFrame:
     shapes = table(spark, folder, "pages").select(
         F.col("page_id").cast("string").alias("code_muni_abrev"), F.encode("html", "UTF-8").alias("geometry")
     )
-    data = table(spark, folder, "customer").where("c_custkey % 3 = 0").select(
-        F.col("c_custkey").cast("string").alias("codigo_municipio"), F.col("c_nationkey").alias("cluster")
-    )
+    code = F.when(F.col("c_custkey") % 3 == 0, F.col("c_custkey").cast("string"))
+    data = table(spark, folder, "customer").select(code.alias("codigo_municipio"), F.col("c_nationkey").alias("cluster"))
     joined = joins.attach_geometry(shapes, data)
     return joined.select(
         "code_muni_abrev",
@@ -76,6 +75,31 @@ def wide_with_pivot(spark: SparkSession, folder: str) -> DataFrame:
     return joins.join_pivot(table(spark, folder, "customer").select("c_custkey", "c_acctbal"), counts, "c_custkey", "o_custkey")
 
 
+@bound(
+    "wide_with_pivot_inner",
+    f"""SELECT c_custkey, c_acctbal, p.* EXCLUDE (o_custkey) FROM customer
+JOIN (SELECT o_custkey, {_PRIORITY_SQL} FROM orders GROUP BY o_custkey) p ON o_custkey = c_custkey""",
+)
+def wide_with_pivot_inner(spark: SparkSession, folder: str) -> DataFrame:
+    counts = agg.pivot_fixed(table(spark, folder, "orders"), ["o_custkey"], "o_orderpriority", values=_PRIORITIES)
+    wide = table(spark, folder, "customer").select("c_custkey", "c_acctbal")
+    return joins.join_pivot(wide, counts, "c_custkey", "o_custkey", "inner")
+
+
+@bound(
+    "join_mixed_keys",
+    """SELECT o_orderkey, code, c_name FROM (
+  SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN 'X' ELSE '' END || '00' || CAST(o_custkey AS VARCHAR) AS code FROM orders)
+LEFT JOIN customer ON c_custkey = TRY_CAST(code AS BIGINT)""",
+)
+def join_mixed_keys(spark: SparkSession, folder: str) -> DataFrame:
+    prefix = F.when(F.col("o_orderkey") % 11 == 0, F.lit("X")).otherwise(F.lit(""))
+    coded = table(spark, folder, "orders").select(
+        "o_orderkey", F.concat(prefix, F.lit("00"), F.col("o_custkey").cast("string")).alias("code")
+    )
+    return joins.lookup(coded, table(spark, folder, "customer"), "code", "c_custkey", ["c_name"])
+
+
 @bound(
     "pivot_dynamic",
     f"""SELECT o_custkey, {_PRIORITY_SQL}, CAST(nullif(count(*) FILTER (WHERE o_orderpriority IS NULL), 0) AS BIGINT) AS DESCONHECIDO
@@ -149,8 +173,8 @@ def dashboard_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 @bound(
     "indicator_view",
-    f"""WITH {_CLUSTERED} SELECT uf || ' - ' || nome AS uf_nome, cluster AS "Cluster", populacao AS "População",
-  round_even(idh, 2) AS "IDH" FROM clustered""",
+    f"""WITH {_CLUSTERED} SELECT uf || ' - ' || nome AS uf_nome, cluster AS "Cluster", populacao AS "👥 População",
+  round_even(idh, 2) AS "📊 IDH" FROM clustered""",
 )
 def indicator_view(spark: SparkSession, folder: str) -> DataFrame:
     return serving.indicator_view(serving.dashboard_rows(_clustered(spark, folder)))

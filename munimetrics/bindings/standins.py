@@ -140,9 +140,12 @@ def census(people: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def registry(spark: SparkSession, folder: str) -> Registry:
+def registry(spark: SparkSession, folder: str, write_people: bool = False) -> Registry:
+    """The tables in their roles; ``write_people`` writes the population first, for jobs that read it many times."""
     lineitem, part = table(spark, folder, "lineitem"), table(spark, folder, "part")
-    people = cut_lineage(population(spark, folder))
+    people = population(spark, folder)
+    if write_people:
+        people = cut_lineage(people)
     return Registry(
         facilities=facilities(spark, folder),
         beds=beds(spark, folder),

@@ -101,9 +101,10 @@ def filter_ilike(spark: SparkSession, folder: str) -> DataFrame:
 LEFT JOIN nation ON n_nationkey = c_nationkey AND n_nationkey % 5 <> 0 LEFT JOIN region ON r_regionkey = n_regionkey""",
 )
 def concat_label(spark: SparkSession, folder: str) -> DataFrame:
-    nation = table(spark, folder, "nation").where(F.col("n_nationkey") % 5 != 0)
+    known = F.when(F.col("n_nationkey") % 5 != 0, F.col("n_nationkey")).alias("known")
+    nation = table(spark, folder, "nation").select(known, "n_regionkey")
     places = nation.join(table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    people = table(spark, folder, "customer").join(places, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    people = table(spark, folder, "customer").join(places, F.col("c_nationkey") == F.col("known"), "left")
     return people.select("c_custkey", text.concat_label(F.col("r_name"), F.col("c_name")).alias("uf_nome"))
 
 
@@ -204,12 +205,12 @@ def occupancy_rate(spark: SparkSession, folder: str) -> DataFrame:
 )
 def round_columns(spark: SparkSession, folder: str) -> DataFrame:
     price = F.col("p_retailprice")
+    # Inside a struct the third column is none of the doubles that are rounded.
     part = table(spark, folder, "part").select(
-        "p_partkey", (price / 8).alias("eighth"), (F.col("p_size") + F.lit(0.125)).alias("tied"), "p_retailprice"
-    )
-    away = F.round(price / 7, 3).alias("away")
-    exact = part.select("p_partkey", away)
-    return scalars.round_doubles(part.drop("p_retailprice"), 2).join(exact, "p_partkey")
+        "p_partkey", (price / 8).alias("eighth"), (F.col("p_size") + F.lit(0.125)).alias("tied"),
+        F.struct(F.round(price / 7, 3).alias("away")).alias("other"),
+    )
+    return scalars.round_doubles(part, 2).select("p_partkey", "eighth", "tied", "other.away")
 
 
 _STATES = sorted(config.CAPITALS)

@@ -248,18 +248,18 @@ SOCIOECONOMIC_FEATURES = [
 LABEL_COLUMNS = ["codigo_municipio", "nome", "uf", "regiao"]
 DASHBOARD_INDICATORS = {
     "cluster": "Cluster",
-    "populacao": "População",
-    "idh": "IDH",
-    "pib_per_capita": "PIB per capita",
-    "taxa_de_alfabetizados": "Taxa de alfabetização",
-    "pct_idoso": "% de idosos",
-    "taxa_freq_escolar": "Taxa de frequência escolar",
-    "taxa_populacao_urbana": "Taxa de população urbana",
-    "unidades_por_k_hab": "Unidades de Saúde por mil hab.",
-    "medicos_por_k_habitante": "Médicos por mil hab.",
-    "enfermeiros_por_k_habitante": "Enfermeiros por mil hab.",
-    "leitos_por_k_hab": "Leitos por mil hab.",
-    "leitos_sus_por_k_hab": "Leitos SUS por mil hab.",
-    "taxa_mortalidade_geral": "Mortalidade geral",
-    "mortalidade_infantil": "Mortalidade infantil",
+    "populacao": "👥 População",
+    "idh": "📊 IDH",
+    "pib_per_capita": "💰 PIB per capita",
+    "taxa_de_alfabetizados": "📚 Taxa de alfabetização",
+    "pct_idoso": "👴 % de idosos",
+    "taxa_freq_escolar": "📖 Taxa de frequência escolar",
+    "taxa_populacao_urbana": "🏙️ Taxa de população urbana",
+    "unidades_por_k_hab": "🏥 Unidades de Saúde por mil hab.",
+    "medicos_por_k_habitante": "🩺 Médicos por mil hab.",
+    "enfermeiros_por_k_habitante": "🧑‍⚕️ Enfermeiros por mil hab.",
+    "leitos_por_k_hab": "🛏️ Leitos por mil hab.",
+    "leitos_sus_por_k_hab": "🛏️ Leitos SUS por mil hab.",
+    "taxa_mortalidade_geral": "💀 Mortalidade geral",
+    "mortalidade_infantil": "👶 Mortalidade infantil",
 }

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import re
+import sys
 import unicodedata
-from functools import reduce
-from itertools import chain
+from functools import cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,10 +15,6 @@ from pyspark.sql import functions as F
 # Fixed value: blanks cut from both ends of a text.
 BLANKS = " \t\n\r\v\f\u0085\u00a0"
 
-# Fixed value: blocks that hold every character whose ASCII form is longer than one character.
-LONG_FORM_BLOCKS = r"[\u00BC-\u00BE\u0132-\u0149\u01C4-\u01F3\u2024-\u218F\uFB00-\uFB06]"
-
-
 # Fixed value: blocks that hold every letter whose capital differs from its title form.
 SPECIAL_CAPITALS = r"[\u00DF\u0149\u01C4-\u01F3\u0390\u03B0\u0587\u1C80-\u1CBF\u10D0-\u10FF\u1E96-\u1FFC\uFB00-\uFB17]"
 
@@ -26,28 +23,44 @@ def _ascii_form(char: str) -> str:
     return unicodedata.normalize("NFKD", char).encode("ascii", "ignore").decode()
 
 
+@cache
 def _folding_tables() -> tuple[str, str, dict[str, str]]:
-    """Characters by what is left of them after compatibility decomposition.
+    """Characters of all of Unicode by what is left of them after compatibility decomposition.
 
-    Returns the characters of the basic plane with a one-character form, those forms, and the Latin and
-    symbol characters with a longer one (ligatures, fractions, trade marks).
+    Returns the characters with a one-character form, those forms, and the characters with a longer one
+    (ligatures, fractions, numbers in brackets, units).
     """
     single, expanded = {}, {}
-    for code in chain(range(0x80, 0xD800), range(0xF900, 0x10000)):
-        form = _ascii_form(chr(code))
-        if len(form) == 1:
-            single[chr(code)] = form
-        elif form and (code < 0x2190 or 0xFB00 <= code <= 0xFB06):
-            expanded[chr(code)] = form
+    for char in map(chr, range(0x80, sys.maxunicode + 1)):
+        if unicodedata.decomposition(char):
+            form = _ascii_form(char)
+            if len(form) == 1:
+                single[char] = form
+            elif form:
+                expanded[char] = form
     return "".join(single), "".join(single.values()), expanded
 
 
+@cache
+def _long_forms() -> str:
+    """The characters with a longer form as ranges of a pattern's character class."""
+    runs: list[list[int]] = []
+    for code in sorted(map(ord, _folding_tables()[2])):
+        if runs and runs[-1][1] == code - 1:
+            runs[-1][1] = code
+        else:
+            runs.append([code, code])
+    return "".join(f"\\x{{{first:X}}}-\\x{{{last:X}}}" for first, last in runs)
+
+
 def fold_accents(text: Column) -> Column:
     """Letters without accents and compatibility forms spelled out; other characters stay as they are."""
     source, target, expanded = _folding_tables()
-    # Long forms are rare, so only a text with a character from their blocks pays for the replacements.
-    spelled = reduce(lambda t, char: F.replace(t, F.lit(char), F.lit(expanded[char])), expanded, text)
-    return F.translate(F.when(text.rlike(LONG_FORM_BLOCKS), spelled).otherwise(text), source, target)
+    forms = F.from_json(F.lit(json.dumps(expanded)), "map<string,string>")
+    # Long forms are rare: only a text that holds one is cut at them and put together again.
+    pieces = F.regexp_extract_all(text, F.lit(f"[{_long_forms()}]|[^{_long_forms()}]+"), F.lit(0))
+    spelled = F.array_join(F.transform(pieces, lambda piece: F.coalesce(F.try_element_at(forms, piece), piece)), "")
+    return F.translate(F.when(text.rlike(f"[{_long_forms()}]"), spelled).otherwise(text), source, target)
 
 
 def clean_label(text: Column) -> Column:

@@ -19,6 +19,8 @@ from munimetrics.session import cut_lineage
 NOISE = -1
 # Distinct coordinates of one grid cell that one task should meet at most.
 SHARE_ROWS = 50_000
+# Halvings of a span that the digits of a double tell apart.
+FINEST_LEVEL = 48
 # A cell is split into this many parts per axis when its box is too coarse to decide a distance.
 SPLIT = 4
 
@@ -28,26 +30,39 @@ def density_radius(
 ) -> float:
     """Neighbourhood radius at which at least ``dense_share`` of the rows have ``min_samples`` rows around.
 
-    Rows are counted on a grid that is halved ``levels`` times; the finest grid on which enough rows share
-    a cell with ``min_samples`` rows decides, and its cell diagonal is the radius. All rows are counted.
+    Rows are counted on a grid that is halved ``levels`` times, and again as long as the finest grid still has
+    enough rows that share a cell with ``min_samples`` rows: a far outlier does not coarsen it. The finest such
+    grid decides, and its cell diagonal is the radius. All rows are counted.
     """
     known = _located(df, x, y)
     low_x, high_x, low_y, high_y = known.agg(F.min(x), F.max(x), F.min(y), F.max(y)).first()
     if low_x is None or max(high_x - low_x, high_y - low_y) == 0:
         return 1.0
-    span, finest = max(high_x - low_x, high_y - low_y), 2**levels
+    span, level = max(high_x - low_x, high_y - low_y), 0
+    for finest in range(levels, FINEST_LEVEL + 1, levels):
+        found = _densest_level(known, (x, y), (low_x, low_y), span, finest - levels, finest, min_samples, dense_share)
+        level = max(level, found)
+        if found < finest:
+            break
+    return span / 2**level * math.sqrt(2)
+
+
+def _densest_level(
+    known: DataFrame, axes: Sequence[str], lows: Sequence[float], span: float, first: int, finest: int, min_samples: int,
+    dense_share: float,
+) -> int:
+    """The last level from ``first`` to ``finest`` on which enough rows share a cell with ``min_samples`` rows."""
     index = [
-        F.floor((F.col(c) - F.lit(low)) / F.lit(span) * finest).alias(i) for c, low, i in ((x, low_x, "i"), (y, low_y, "j"))
+        F.floor((F.col(c) - F.lit(low)) / F.lit(span) * float(2**finest)).alias(i) for c, low, i in zip(axes, lows, "ij")
     ]
     counts = known.groupBy(*index).agg(F.count(F.lit(1)).alias("n"))
-    pyramid = counts.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(levels))))
-    step = F.pow(F.lit(2), F.lit(levels) - F.col("level"))
+    pyramid = counts.withColumn("level", F.explode(F.sequence(F.lit(first), F.lit(finest))))
+    step = F.pow(F.lit(2), F.lit(finest) - F.col("level"))
     cells = pyramid.groupBy("level", F.floor(F.col("i") / step), F.floor(F.col("j") / step)).agg(F.sum("n").alias("n"))
     shares = cells.groupBy("level").agg(
         (F.coalesce(F.sum(F.when(F.col("n") >= min_samples, F.col("n"))), F.lit(0)) / F.sum("n")).alias("dense")
     )
-    level = max((row["level"] for row in shares.collect() if row["dense"] >= dense_share), default=0)
-    return span / 2**level * math.sqrt(2)
+    return max((row["level"] for row in shares.collect() if row["dense"] >= dense_share), default=0)
 
 
 def _located(df: DataFrame, x: str, y: str) -> DataFrame:

@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from munimetrics.bindings.standins import padded
-from munimetrics.functions.text import clean_columns
+from munimetrics.functions.text import clean_columns, clean_label
+from munimetrics.operators.clustering import density_radius
 from munimetrics.operators.joins import lookup
 from munimetrics.operators.ordering import positions
 from munimetrics.sources import files
@@ -57,3 +58,15 @@ def test_large_groups_are_dealt_out_by_bucket_too(spark):
         assert any("hashpartitioning(_group" in line and "_bucket" in line for line in plan.splitlines() if "Exchange" in line)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_labels_spell_out_all_of_unicode(spark):
+    cases = {"\u2474 x": "1_x", "\u338f": "kg", "\U0001d400b": "ab", "\u00bd \ufb03\nS\u00e3o": "12_ffi_sao", "": "", None: None}
+    rows = spark.createDataFrame([(c,) for c in cases], "t string").select("t", clean_label(F.col("t")).alias("label")).collect()
+    assert {r.t: r.label for r in rows} == cases
+
+
+def test_an_outlier_leaves_the_radius_fine(spark):
+    near = spark.range(4000).select((F.col("id") % 20 / 2000).alias("x"), (F.floor(F.col("id") / 20) % 20 / 2000).alias("y"))
+    far = near.union(spark.createDataFrame([(1e6, 1e6)], "x double, y double"))
+    assert density_radius(near, "x", "y", 10) < 0.01 and density_radius(far, "x", "y", 10) < 0.01

@@ -10,6 +10,7 @@ from munimetrics.bindings import standins as roles
 from munimetrics.bindings.registry import bound, table
 from munimetrics.functions import text
 from munimetrics.operators import dedup
+from munimetrics.plans.ingest import clean_deaths
 from munimetrics.session import scratch_path
 from munimetrics.sources import files, tables
 
@@ -98,6 +99,95 @@ def load_cities(spark: SparkSession, folder: str) -> DataFrame:
     return tables.load_cities(sheets, scratch_path(spark, "tb_cidades"))
 
 
+@bound(
+    "scan_file",
+    """SELECT 'csv' AS kind, CAST(c_custkey AS VARCHAR) AS code, c_name AS name FROM customer
+UNION ALL SELECT 'parquet', CAST(s_suppkey AS VARCHAR), s_name FROM supplier""",
+)
+def scan_file(spark: SparkSession, folder: str) -> DataFrame:
+    """The same columns from a delimited and a Parquet file, chosen by extension."""
+    rows = {
+        "csv": table(spark, folder, "customer").select(F.col("c_custkey").cast("string").alias("code"), F.col("c_name").alias("name")),
+        "parquet": table(spark, folder, "supplier").select(F.col("s_suppkey").cast("string").alias("code"), F.col("s_name").alias("name")),
+    }
+    paths = {kind: f"{scratch_path(spark, 'tbunit')}.{kind}" for kind in rows}
+    tables.write_delimited(rows["csv"], paths["csv"])
+    tables.write_parquet(rows["parquet"], paths["parquet"])
+    return files.union_relaxed(
+        [files.scan_file(spark, path).select(F.lit(kind).alias("kind"), "code", "name") for kind, path in paths.items()]
+    )
+
+
+@bound(
+    "list_files",
+    "SELECT 'tborders' AS base, strftime(o_orderdate, '%Y-%m-01') AS data_competencia FROM orders GROUP BY ALL",
+)
+def list_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Monthly files of a table, found by listing alone: their base name and month."""
+    orders = table(spark, folder, "orders")
+    name = F.concat(F.lit("tbOrders"), F.date_format("o_orderdate", "yyyyMM"), F.lit(".csv"))
+    path = scratch_path(spark, "raw")
+    tables.write_delimited(orders.select(F.col("o_orderkey").cast("string"), name.alias("file")), path, ["file"])
+    dataset = F.regexp_extract("path", r"file=([^/]+)/", 1)
+    listed = files.list_files(spark, path, ".csv").where("length > 0")
+    return listed.select(
+        files.base_table_name(dataset).alias("base"), files.snapshot_date(dataset).alias("data_competencia")
+    ).distinct()
+
+
+@bound("base_table_name", "SELECT o_orderkey, 'tborders' || lower(o_orderstatus) AS base FROM orders")
+def base_table_name(spark: SparkSession, folder: str) -> DataFrame:
+    month = F.date_format("o_orderdate", "yyyyMM")
+    path = F.concat(F.lit("/raw/tb_Orders-"), "o_orderstatus", month, F.lit(".csv"))
+    return table(spark, folder, "orders").select("o_orderkey", files.base_table_name(path).alias("base"))
+
+
+@bound("find_table", "SELECT o_orderkey, o_totalprice FROM orders")
+def find_table(spark: SparkSession, folder: str) -> DataFrame:
+    table(spark, folder, "orders").createOrReplaceTempView("munimetrics_orders")
+    return tables.find_table(spark, "MuniMetrics_ORDERS").select("o_orderkey", "o_totalprice")
+
+
+@bound("replace_table", "SELECT c_custkey AS code, c_name AS name, c_acctbal AS balance FROM customer")
+def replace_table(spark: SparkSession, folder: str) -> DataFrame:
+    """A table of suppliers is replaced by one of customers with another column."""
+    path = scratch_path(spark, "catalog")
+    name = "munimetrics_" + path.rpartition("-")[2]
+    suppliers = table(spark, folder, "supplier").select(F.col("s_suppkey").alias("code"), F.col("s_name").alias("name"))
+    tables.replace_table(suppliers, name, path)
+    customers = table(spark, folder, "customer").select(
+        F.col("c_custkey").alias("code"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance")
+    )
+    tables.replace_table(customers, name, path)
+    return tables.find_table(spark, name.upper())
+
+
+@bound(
+    "csv_round_trip",
+    """SELECT p_partkey, CASE WHEN p_partkey % 7 <> 0 THEN p_name || ' "a, b" \\' || chr(39) END AS name, p_retailprice FROM part""",
+)
+def csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """Quotes, separators, backslashes and nulls through a CSV file with header."""
+    name = F.when(F.col("p_partkey") % 7 != 0, F.concat("p_name", F.lit(' "a, b" \\' + "'")))
+    rows = table(spark, folder, "part").select("p_partkey", name.alias("name"), "p_retailprice")
+    path = scratch_path(spark, "report")
+    tables.write_csv(rows, path)
+    return tables.read_csv(spark, path, "p_partkey bigint, name string, p_retailprice double")
+
+
+@bound(
+    "deaths_with_names",
+    f"""SELECT CASE WHEN o_orderstatus = 'P' THEN 'X' ELSE '' END
+    || lpad(CAST(o_custkey AS VARCHAR), greatest(7, length(CAST(o_custkey AS VARCHAR)))::INTEGER, '0') AS CODESTAB,
+  {roles.PLACE.format('c_nationkey')} AS CODMUNOCOR, n_name AS NO_MUNICIPIO, r_name AS CO_SIGLA_ESTADO
+FROM orders JOIN customer ON c_custkey = o_custkey LEFT JOIN nation ON n_nationkey = c_nationkey
+LEFT JOIN region ON r_regionkey = n_regionkey""",
+)
+def deaths_with_names(spark: SparkSession, folder: str) -> DataFrame:
+    named = clean_deaths(roles.deaths(spark, folder), roles.municipalities(spark, folder))
+    return named.select("CODESTAB", "CODMUNOCOR", "NO_MUNICIPIO", "CO_SIGLA_ESTADO")
+
+
 @bound(
     "union_relaxed",
     """SELECT CAST(s_suppkey AS DOUBLE) AS code, CAST(s_nationkey AS BIGINT) AS place FROM supplier

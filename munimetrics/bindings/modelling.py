@@ -9,6 +9,7 @@ from munimetrics.bindings import standins as roles
 from munimetrics.bindings.registry import bound, table
 from munimetrics.bindings.standins import FEATURES, FEATURES_SQL
 from munimetrics.operators import clustering, features, stats
+from munimetrics.operators.ordering import positions
 from munimetrics.session import cut_lineage
 
 
@@ -185,6 +186,38 @@ def hierarchical_cluster(spark: SparkSession, folder: str) -> DataFrame:
     return clustering.hierarchical_clusters(scaled, "p_partkey", FEATURES)
 
 
+# Segments so far apart that one partition into five is best; numbered by smallest key, it can be told in SQL.
+_SEPARATED_SQL = """SELECT c_custkey, CAST(dense_rank() OVER (ORDER BY lowest) - 1 AS INTEGER) AS label
+FROM (SELECT c_custkey, min(c_custkey) OVER (PARTITION BY c_mktsegment) AS lowest FROM customer)"""
+
+
+def _separated(spark: SparkSession, folder: str, spread: int) -> DataFrame:
+    place = F.array_position(F.array(*[F.lit(s) for s in roles.SEGMENTS]), F.col("c_mktsegment"))
+    rows = table(spark, folder, "customer").select(
+        "c_custkey", (place * 1000.0 + F.col("c_custkey") % 10 * spread).alias("x"),
+        (place * place * 500.0 + F.col("c_nationkey") * spread).alias("y"),
+    )
+    return features.standardize(rows, ["x", "y"])
+
+
+def _numbered(labels: DataFrame, key: str) -> DataFrame:
+    """Labels from 0 by their smallest key."""
+    lowest = labels.groupBy("label").agg(F.min(key).alias("lowest"), F.lit(1).alias("n"))
+    numbers = positions(lowest, [], "lowest").select("label", F.col("before").cast("int").alias("number"))
+    return labels.join(numbers, "label").select(key, F.col("number").alias("label"))
+
+
+@bound("kmeans_separated", _SEPARATED_SQL)
+def kmeans_separated(spark: SparkSession, folder: str) -> DataFrame:
+    return _numbered(clustering.kmeans_best_of(_separated(spark, folder, 1), "c_custkey", ["x", "y"]), "c_custkey")
+
+
+@bound("hierarchical_separated", _SEPARATED_SQL)
+def hierarchical_separated(spark: SparkSession, folder: str) -> DataFrame:
+    found = clustering.hierarchical_clusters(_separated(spark, folder, 0), "c_custkey", ["x", "y"])
+    return _numbered(found, "c_custkey")
+
+
 @bound(
     "silhouette",
     """WITH e AS (SELECT vec_id, label, unnest(CAST(embedding AS DOUBLE[])) AS v, generate_subscripts(embedding, 1) AS d FROM embeddings),

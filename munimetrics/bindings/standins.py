@@ -94,9 +94,9 @@ def population(spark: SparkSession, folder: str) -> DataFrame:
 
 def cities(people: DataFrame) -> DataFrame:
     n, nation, balance = F.col("n"), F.col("n_nationkey"), F.col("balance")
-    return people.where(nation < 24).select(
+    return people.select(
         F.col("n_name").alias("nome"),
-        place_code(nation).alias("codigo_municipio"),
+        F.when(nation < 24, place_code(nation)).alias("codigo_municipio"),
         (nation * 10.0 + 100).alias("area_km2"),
         (n * 1000.0).alias("populacao_residente"),
         F.round(n * 1000.0 / (nation * 10.0 + 100), 4).alias("densidade_demografica"),

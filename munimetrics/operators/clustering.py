@@ -1,4 +1,4 @@
-"""Clustering: density clusters with noise, k-means, bisecting k-means, silhouette, label alignment."""
+"""Clustering: density clusters with noise, k-means, divisive hierarchy, silhouette, label alignment."""
 
 from __future__ import annotations
 
@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
-from pyspark.ml.clustering import BisectingKMeans, KMeans
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -183,7 +184,7 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Smallest node of the component of each node: columns ``node`` and ``root``.
 
     Each round hooks every root to the smallest root next to its tree and then shortens the chains of
-    roots, so the number of rounds grows with the logarithm of the longest path.
+    roots to a quarter, so the number of rounds grows with the logarithm of the longest path.
     """
     both = edges.toDF("a", "b")
     both = cut_lineage(both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
@@ -200,7 +201,7 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         hooks = cut_lineage(hooks)
         if hooks.isEmpty():
             return labels
-        for _ in range(4):
+        for _ in range(2):  # the hooks read once are joined three times; more steps double that each
             onward = hooks.select(F.col("root").alias("parent"), F.col("parent").alias("above"))
             hooks = hooks.join(onward, "parent", "left").select(
                 "root", F.coalesce("above", "parent").alias("parent")
@@ -345,13 +346,26 @@ def hierarchical_clusters(
     df: DataFrame, key: str, features: Sequence[str], k: int = 5, seed: int = 42, name: str = "label",
     iterations: int = 300,
 ) -> DataFrame:
-    """Divisive hierarchy cut at ``k`` clusters; labels differ from those of an agglomerative tree."""
-    vectors = assembled(df, features, [key]).persist()
-    try:
-        model = BisectingKMeans(k=k, seed=seed, maxIter=iterations, featuresCol=_VECTOR, predictionCol=name).fit(vectors)
-    finally:
-        vectors.unpersist()
-    return model.transform(assembled(df, features, [key])).select(key, name)
+    """Divisive hierarchy cut at ``k`` clusters; labels differ from those of an agglomerative tree.
+
+    The cluster with the largest squared error is split by 2-means, which stops as soon as its centres rest, until
+    there are ``k`` clusters or none with two different rows. The assignment is written after each split.
+    """
+    rows = cut_lineage(assembled(df, features, [key]).select(key, _VECTOR, F.lit(0).alias(name)))
+    moments = Summarizer.metrics("count", "variance").summary(F.col(_VECTOR)).alias("_moments")
+    total = None
+    for leaf in range(1, k):
+        spreads = rows.groupBy(name).agg(moments).select(name, "_moments.count", "_moments.variance").collect()
+        errors = {row[name]: float(sum(row["variance"])) * (row["count"] - 1) for row in spreads}
+        widest = max(errors, key=errors.get, default=None)
+        total = errors.get(0, 0.0) if total is None else total
+        if widest is None or errors[widest] <= 1e-12 * total:
+            break
+        part = rows.where(F.col(name) == widest)
+        model = KMeans(k=2, seed=seed, maxIter=iterations, featuresCol=_VECTOR, predictionCol="_half").fit(part)
+        moved = (F.col(name) == widest) & (F.col("_half") == 1)
+        rows = cut_lineage(model.transform(rows).select(key, _VECTOR, F.when(moved, leaf).otherwise(F.col(name)).alias(name)))
+    return rows.select(key, name)
 
 
 def silhouette(df: DataFrame, features: Sequence[str], label: str) -> float | None:
@@ -363,27 +377,34 @@ def silhouette(df: DataFrame, features: Sequence[str], label: str) -> float | No
     return float(evaluator.evaluate(vectors))
 
 
-def label_mapping(df: DataFrame, target: str, label: str, limit: int = 10_000) -> dict[int, int]:
-    """One-to-one mapping of labels to target labels, by overlap: the largest overlap is settled first.
+def label_pairs(df: DataFrame, target: str, label: str) -> DataFrame:
+    """One-to-one pairs ``(target, label)`` by overlap: the largest overlap is settled first.
 
-    Counting is done by Spark; the pairs of labels that occur, not the rows, come to the driver. More than
-    ``limit`` pairs is an error: such columns are no cluster labels.
+    Overlaps are ordered by size, then by target and label. Each round settles every pair that comes first for
+    its target and for its label alike, which are the pairs that settling one by one would choose, and takes
+    both out. Null labels are not paired.
     """
-    overlap = df.groupBy(target, label).agg(F.count(F.lit(1)).alias("n"))
-    pairs = overlap.orderBy(F.desc("n"), F.asc(target), F.asc(label)).limit(limit + 1).collect()
-    if len(pairs) > limit:
-        raise ValueError(f"more than {limit} pairs of labels to align")
-    mapping: dict[int, int] = {}
-    for row in pairs:
-        if row[label] not in mapping and row[target] not in mapping.values():
-            mapping[row[label]] = row[target]
-    return mapping
-
-
-def align_labels(df: DataFrame, target: str, label: str, name: str = "aligned") -> DataFrame:
+    counted = df.where(F.col(target).isNotNull() & F.col(label).isNotNull()).groupBy(target, label)
+    rank = F.struct((-F.col("_n")).alias("_n"), F.col(target), F.col(label)).alias("_rank")
+    rest = cut_lineage(counted.agg(F.count(F.lit(1)).alias("_n")).select(target, label, rank))
+    settled = None
+    while not rest.isEmpty():
+        first = [rest.groupBy(c).agg(F.min("_rank").alias(f"_first_{i}")) for i, c in enumerate((target, label))]
+        both = (F.col("_rank") == F.col("_first_0")) & (F.col("_rank") == F.col("_first_1"))
+        found = cut_lineage(rest.join(first[0], target).join(first[1], label).where(both).select(target, label))
+        settled = found if settled is None else settled.unionByName(found)
+        rest = rest.join(found.select(target), target, "left_anti").join(found.select(label), label, "left_anti")
+        rest = cut_lineage(rest)
+    return rest.select(target, label) if settled is None else settled
+
+
+def align_labels(
+    df: DataFrame, target: str, label: str, name: str = "aligned", pairs: DataFrame | None = None
+) -> DataFrame:
     """Rename the labels after the target labels they overlap most; a label left over keeps its own name."""
-    mapping = label_mapping(df, target, label)
-    aligned = F.col(label).cast("int")
-    for old, new in mapping.items():
-        aligned = F.when(F.col(label) == F.lit(old), F.lit(new)).otherwise(aligned)
-    return df.withColumn(name, aligned)
+    if pairs is None:
+        pairs = label_pairs(df, target, label)
+    renamed = pairs.select(F.col(label), F.col(target).cast("int").alias("_renamed"))
+    joined = df.join(renamed, label, "left")
+    aligned = F.coalesce("_renamed", F.col(label).cast("int")).alias(name)
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], aligned)

@@ -56,11 +56,12 @@ def latest_per_key(
     """The latest row of each key, ties by the smallest ``tie_break``, with first and last snapshot dates.
 
     ``min_by`` keeps one candidate per key and map task, so no key is gathered in one place. Its buffer is
-    a whole row, which Spark aggregates by sorting each task's rows. Rows with a null key are one group of their own.
+    a whole row, which Spark aggregates by sorting each task's rows. Rows with a null key are dropped, as by
+    ``first_last_seen``.
     """
     order = F.struct(_age(F.col(snapshot), dict(df.dtypes)[snapshot]), *[F.col(c) for c in tie_break])
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    chosen = df.groupBy(F.col(key).alias("_key")).agg(
+    chosen = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(
         F.min_by(row, order).alias("_row"), F.min(snapshot).alias(first), F.max(snapshot).alias(last)
     )
     return chosen.select("_row.*", first, last)

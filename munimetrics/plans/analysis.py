@@ -85,10 +85,12 @@ def analyse(
         "agglomerative": clustering.hierarchical_clusters(scaled, key, selected, settings.n_clusters_alt, settings.seed),
     }
     for name, alternative in alternatives.items():
+        alternative = cut_lineage(alternative)
         paired = cut_lineage(labels.select(key, "cluster").join(alternative, key))
         scores[name] = clustering.silhouette(scaled.join(alternative, key), selected, "label")
-        mappings[name] = clustering.label_mapping(paired, "cluster", "label")
-        aligned = clustering.align_labels(paired, "cluster", "label")
+        pairs = clustering.label_pairs(paired, "cluster", "label")
+        mappings[name] = {row["label"]: row["cluster"] for row in pairs.orderBy("label").collect()}
+        aligned = clustering.align_labels(paired, "cluster", "label", pairs=pairs)
         reports[f"matriz_correspondencia_{name}"] = crosstab(paired, "cluster", "label")
         reports[f"matriz_correspondencia_{name}_alinhada"] = crosstab(aligned, "cluster", "aligned")
 

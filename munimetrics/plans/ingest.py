@@ -62,11 +62,16 @@ def clean_table(name: str, df: DataFrame) -> DataFrame:
 
 
 def ingest_registry(spark: SparkSession, raw_folder: str, out_folder: str, suffix: str = ".csv") -> dict[str, DataFrame]:
-    """Read, align, clean and write every monthly registry table; returns the written tables by name."""
-    return {
-        name: write_parquet(clean_table(name, monthly_table(spark, paths)), os.path.join(out_folder, name))
-        for name, paths in snapshot_files(spark, raw_folder, suffix).items()
-    }
+    """Read, align, clean and write every monthly registry table; returns the written tables by name.
+
+    Tables of one row per month are partitioned by it, so that a job on one month reads that month's files only.
+    """
+    written = {}
+    for name, paths in snapshot_files(spark, raw_folder, suffix).items():
+        cleaned = clean_table(name, monthly_table(spark, paths))
+        monthly = [] if name == "tbestabelecimento" else ["data_competencia"]
+        written[name] = write_parquet(cleaned, os.path.join(out_folder, name), monthly)
+    return written
 
 
 def clean_deaths(deaths: DataFrame, municipalities: DataFrame) -> DataFrame:

@@ -67,10 +67,13 @@ def registry_of(
 def beds_per_facility(beds: DataFrame, facilities: DataFrame | None, snapshot: str) -> DataFrame:
     """Existing and public beds per facility in one snapshot; ``facilities`` limits which ones count."""
     rows = beds.where(F.col("data_competencia") == snapshot)
+
+    def count(name: str) -> Column:
+        # Counts are text when they come from CSV; a blank is no count, any other text that is no number is an error.
+        return F.nullif(F.trim(F.col(name).cast("string")), F.lit("")).cast("bigint")
+
     sums = rows.groupBy("CO_UNIDADE").agg(
-        # Counts are text when they come from CSV.
-        F.sum(F.col("QT_EXIST").try_cast("bigint")).alias("leitos_existentes"),
-        F.sum(F.col("QT_SUS").try_cast("bigint")).alias("leitos_sus"),
+        F.sum(count("QT_EXIST")).alias("leitos_existentes"), F.sum(count("QT_SUS")).alias("leitos_sus")
     )
     return sums if facilities is None else sums.join(facilities.select("CO_UNIDADE"), "CO_UNIDADE", "left_semi")
 

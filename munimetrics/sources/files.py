@@ -103,12 +103,14 @@ def scan_city_sheets(
     """Per-state city sheets, saved as delimited text, to clean typed rows.
 
     A sheet has title lines, a header, 13 positional columns and footer notes. Rows are the lines whose
-    second field is a municipality code; the state comes from the file path by ``state_pattern``.
+    second field is a whole number, with blanks around or a ``.0`` behind as sheet exports leave them; the state
+    comes from the file path by ``state_pattern``.
     """
     fields = ", ".join(f"`{c}` string" for c in config.CITY_SHEET_COLUMNS)
     raw = spark.read.option("recursiveFileLookup", True).options(sep=sep).schema(fields).csv(path)
     state = F.upper(F.regexp_extract(F.col("_metadata.file_path"), state_pattern, 1))
-    rows = raw.select("*", state.alias("uf")).where(F.col("codigo_municipio").rlike(r"^\d{6,7}$"))
+    code = F.regexp_extract("codigo_municipio", r"^\s*(\d+)(?:\.0+)?\s*$", 1)
+    rows = raw.select("*", state.alias("uf")).withColumn("codigo_municipio", code).where(code != "")
     numbers = {c: dash_as_zero(F.col(c)).cast("double") for c in config.CITY_NUMERIC_COLUMNS}
     return rows.drop(*config.CITY_SHEET_UNUSED).withColumns(numbers)
 

@@ -19,7 +19,8 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     """
     out = df.hint("rebalance", *partition_by) if partition_by else df
     out.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.parquet(path)
+    # Partition columns are kept in folder names: without the schema their types would be guessed.
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def write_delimited(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -29,17 +30,17 @@ def write_delimited(df: DataFrame, path: str, partition_by: Sequence[str] = ())
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Comma-separated UTF-8 with a header."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """Comma-separated UTF-8 with a header; a quote inside quotes is doubled."""
+    df.write.mode("overwrite").options(header=True, escape='"').csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
+    return spark.read.schema(schema).options(header=True, escape='"', enforceSchema=False).csv(path)
 
 
-def replace_table(df: DataFrame, name: str) -> DataFrame:
-    """Create or replace a catalog table."""
-    df.write.mode("overwrite").saveAsTable(name)
+def replace_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Create or replace a catalog table, in the warehouse or at ``path``."""
+    df.write.mode("overwrite").options(**({"path": path} if path else {})).saveAsTable(name)
     return df.sparkSession.table(name)
 
 

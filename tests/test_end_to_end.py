@@ -32,9 +32,11 @@ def test_files_to_municipal_table(spark, tmp_path):
     _csv(raw / "tbCargaHorariaSus202212.csv", "CO_UNIDADE;CO_PROFISSIONAL_SUS;CO_CBO;TP_SUS_NAO_SUS", "0001;a;225;S", "0002;a;225;S", "0001;b;223;S")
     _csv(sim / "DOBR2022.csv", "CODESTAB;CODMUNOCOR;SEXO", "11;530010;1", "0011;530010;2", ";530010;9")
     _csv(ibge / "taxa_rede_esgoto.csv", "codigo;sim;nao", "5300108;88.5;11.5")
-    (sheets / "df.csv").write_text("Brasília,5300108,g,p,10,2000,200,90,0.8,-,1,2,3\n")
+    (sheets / "df.csv").write_text("Cidades e Estados\nMunicípio [-],Código [-]\nBrasília, 5300108.0 ,g,p,10,2000,200,90,0.8,-,1,2,3\n")
 
     tables = ingest.ingest_registry(spark, str(raw), str(tmp_path / "tables"))
+    month = tables["rlestabcomplementar"].where("data_competencia = '2022-12-01'")
+    assert "PartitionFilters: [isnotnull(data_competencia" in month._jdf.queryExecution().executedPlan().toString()
     assert tables["tbestabelecimento"].count() == 2 and tables["tbmunicipio"].count() == 1
     deaths = ingest.ingest_deaths(spark, str(sim / "DOBR2022.csv"), tables["tbmunicipio"], str(tmp_path / "deaths"))
     assert {r["SEXO"] for r in deaths.collect()} == {"Masculino", "Feminino", "Desconhecido"}

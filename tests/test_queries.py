@@ -16,7 +16,8 @@ deaths_by_municipality count_distinct_filtered group_by_all wide_municipal_table
 distinct_sorted pivot_fixed pivot_dynamic kpi_overview top5_states cluster_profile cluster_sizes crosstab box_stats
 snapshot_audit median_vs_national capacity_ranking kruskal_wallis sort_nulls_last union_align standardize embed_2d
 density_cluster recluster_noise variance_filter correlation_filter kmeans_best_of hierarchical_cluster silhouette
-align_labels correlation_matrix""".split()
+align_labels correlation_matrix scan_file list_files base_table_name find_table replace_table csv_round_trip
+deaths_with_names kmeans_separated hierarchical_separated""".split()
 
 
 @pytest.fixture(scope="module")

@@ -1,9 +1,9 @@
-"""Benchmark decontamination: rare n-gram seeds find passages, Smith-Waterman alignment scores them.
+"""Benchmark decontamination: n-gram seeds find passages, Smith-Waterman alignment scores them.
 
 Word n-grams of the test items are held in a fixed-size Bloom filter; a scan of the documents keeps only the places
-whose n-gram may be an item's. The n-grams' document counts decide which of an item's n-grams are its rarest, and
-those seed the join of documents and items. Seeds name diagonals; around them item and document are aligned word by
-word, so substituted, inserted and deleted words cost a little and do not hide a copy.
+whose n-gram may be an item's. Every n-gram of an item seeds the join of documents and items. Seeds name diagonals;
+around them item and document are aligned word by word, so substituted, inserted and deleted words cost a little and
+do not hide a copy. Passages with too few of the item's words to reach the threshold are not aligned.
 """
 
 from __future__ import annotations
@@ -12,13 +12,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from munimetrics.llm.common import byte_texts, cut_lineage, rows_of
 
 SEED_WORDS = 3
-SEEDS_PER_ITEM = 16
 THRESHOLD = 0.5
 BLOOM_BITS = 23
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -104,32 +104,48 @@ def bloom(grams: DataFrame, bits: int = BLOOM_BITS) -> bytes:
     return field.tobytes()
 
 
-def places(docs: DataFrame, id_col: str, text_col: str, field: bytes, words: int, bits: int) -> DataFrame:
-    """``(id, gram, at)``: the words of documents at which an n-gram starts that the filter does not rule out."""
+def _reach(size: int, threshold: float) -> int:
+    """Words that a copy of ``threshold`` or more can take up before or behind the item's own: those of its gaps."""
+    return int(np.ceil(MATCH * size * (1 - threshold) / -GAP))
+
+
+def places(docs: DataFrame, id_col: str, text_col: str, field: bytes, words: int, bits: int, reach: int) -> DataFrame:
+    """``(id, first, print, passage, grams, at)``: stretches of documents around n-grams that the filter does not rule out.
+
+    A stretch reaches ``reach`` words to either side of each; overlapping ones are merged. ``first`` is its first word
+    in the document and ``print`` its hash, ``at`` says where in it the n-grams start.
+    """
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, have = GramHasher(words), np.unpackbits(np.frombuffer(field, np.uint8), bitorder="little").astype(bool)
         for part in rows_of(batches, 512):
-            ids, grams, at = [], [], []
+            ids, firsts, passages, grams, at = [], [], [], [], []
             for i, text in enumerate(byte_texts(part.column(1))):
                 hashes = hasher(text)
                 one, two = _slots(hashes, bits)
                 hit = np.flatnonzero(have[one])
                 hit = hit[have[two[hit]]]
-                if len(hit):
-                    ids.append(np.full(len(hit), i))
-                    grams.append(hashes[hit])
-                    at.append(hit)
+                if not len(hit):
+                    continue
+                own = text.lower().split()
+                for run_of in np.split(hit, np.flatnonzero(np.diff(hit) > 2 * reach) + 1):
+                    first = max(0, int(run_of[0]) - reach)
+                    ids.append(i)
+                    firsts.append(first)
+                    passages.append(b" ".join(own[first : int(run_of[-1]) + reach]))
+                    grams.append(hashes[run_of].view(np.int64))
+                    at.append(run_of - first)
             if ids:
+                prints = np.fromiter(map(xxhash.xxh64_intdigest, passages), np.uint64, len(passages)).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(np.concatenate(ids))), pa.array(np.concatenate(grams).view(np.int64)),
-                     pa.array(np.concatenate(at))],
-                    ["id", "gram", "at"],
+                    [part.column(0).take(pa.array(ids)), pa.array(firsts, pa.int64()), pa.array(prints), pa.array(passages, pa.binary()),
+                     pa.array(grams, pa.list_(pa.int64())), pa.array(at, pa.list_(pa.int64()))],
+                    ["id", "first", "print", "passage", "grams", "at"],
                 )
 
     return docs.select(F.col(id_col), F.col(text_col)).filter(F.col(id_col).isNotNull()).mapInArrow(
-        run, f"id {kind}, gram long, at long"
+        run, f"id {kind}, first long, print long, passage binary, grams array<long>, at array<long>"
     )
 
 
@@ -149,9 +165,9 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
     return best
 
 
-def _regions(diagonals: list[int], size: int, words: int) -> list[tuple[int, int]]:
+def _regions(diagonals: list[int], size: int, words: int, least: float) -> list[tuple[int, int]]:
     """Stretches of the document in which a copy that holds one of the seeds can lie, overlapping ones merged."""
-    slack, out = size // 2 + 8, []
+    slack, out = _reach(size, least), []
     for d in sorted(diagonals):
         low, high = max(0, d - slack), min(words, d + size + slack)
         if out and low <= out[-1][1]:
@@ -161,13 +177,20 @@ def _regions(diagonals: list[int], size: int, words: int) -> list[tuple[int, int
     return [(a, b) for a, b in out]
 
 
-def best_alignment(item: list[bytes], document: list[bytes], diagonals: list[int]) -> tuple[float, int, int]:
-    """Score as a share of the full match of the item, and the words of the document from which to which it lies."""
+def best_alignment(item: list[bytes], document: list[bytes], diagonals: list[int], least: float) -> tuple[float, int, int]:
+    """Score as a share of the full match of the item, and the words of the document from which to which it lies.
+
+    Stretches that hold too few of the item's words for a share of ``least`` are passed over.
+    """
     code = {w: i for i, w in enumerate(dict.fromkeys(item))}
     want = np.array([code[w] for w in item])
+    wanted = np.bincount(want)
     best = (0.0, 0, 0)
-    for low, high in _regions(diagonals, len(item), len(document)):
+    for low, high in _regions(diagonals, len(item), len(document), least):
         have = np.array([code.get(w, -1) for w in document[low:high]])
+        held = np.bincount(have + 1, minlength=len(code) + 1)[1:]
+        if np.minimum(wanted, held).sum() < max(least, best[0]) * len(item):  # every match takes a word of each
+            continue
         score, item_end, end = align(want, have)
         share = score / (MATCH * len(item))
         if share > best[0]:
@@ -179,48 +202,42 @@ def best_alignment(item: list[bytes], document: list[bytes], diagonals: list[int
 def contaminated(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
     item_text_col: str = "text", threshold: float = THRESHOLD, seed_words: int = SEED_WORDS,
-    seeds_per_item: int = SEEDS_PER_ITEM, bloom_bits: int = BLOOM_BITS,
+    bloom_bits: int = BLOOM_BITS,
 ) -> DataFrame:
     """``(id, item, score, first_word, last_word)`` per document and item aligned with at least ``threshold``.
 
     Words are compared without regard to ASCII case. The score is the Smith-Waterman score (match 2, mismatch and
-    gap -1) over that of the item itself. Seeds are the ``seeds_per_item`` n-grams of an item that the fewest
-    documents hold, ties by hash; rarity is judged within the item, so an item that a third of all documents hold
-    is found too. Null or empty texts and items shorter than an n-gram match nothing; rows without an identifier
-    cannot be named and match nothing. Repeated rows and items are matched as one. Empty tables give empty results.
+    gap -1) over that of the item itself. Every n-gram of an item is a seed, however many documents hold it. Null or
+    empty texts and items shorter than an n-gram match nothing; rows without an identifier cannot be named and match
+    nothing. Repeated rows and items are matched as one. Empty tables give empty results.
     """
     items = items.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("item_text")).filter(
         F.col("item").isNotNull() & F.col("item_text").isNotNull()
     )
     grams = cut_lineage(item_grams(items, "item", "item_text", seed_words).distinct())
     field = bloom(grams, bloom_bits)
-    found = cut_lineage(places(docs, id_col, text_col, field, seed_words, bloom_bits))
-    held = found.select("id", "gram").distinct().groupBy("gram").agg(F.count("*").alias("docs"))
-    ranked = grams.select("item", "gram").distinct().join(held, "gram")
-    rarest = ranked.groupBy("item").agg(
-        F.slice(F.array_sort(F.collect_list(F.struct("docs", "gram"))), 1, seeds_per_item).alias("seeds")
-    )
-    seeds = rarest.select("item", F.explode("seeds.gram").alias("gram")).join(grams, ["item", "gram"])
+    longest = grams.agg(F.max("size")).first()[0] or 0
+    found = cut_lineage(places(docs, id_col, text_col, field, seed_words, bloom_bits, longest + _reach(longest, threshold)))
+    hits = found.select("id", "first", "print", F.explode(F.arrays_zip("grams", F.col("at").alias("places"))).alias("hit"))
     pairs = (
-        found.withColumnRenamed("at", "doc_at").join(seeds, "gram")
-        .select("id", "item", (F.col("doc_at") - F.col("at")).alias("diagonal"))
-        .groupBy("id", "item").agg(F.collect_set("diagonal").alias("diagonals"))
+        hits.select("id", "first", "print", F.col("hit.grams").alias("gram"), F.col("hit.places").alias("doc_at")).join(grams, "gram")
+        .select("id", "first", "print", "item", (F.col("doc_at") - F.col("at")).alias("diagonal"))
+        .groupBy("id", "first", "print", "item").agg(F.collect_set("diagonal").alias("diagonals"))
     )
     pairs = cut_lineage(pairs)
     texts = items.dropDuplicates(["item"])
-    texts_of = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    wanted = pairs.join(texts, "item").join(texts_of, "id")
+    passages = found.select("id", "first", "print", "passage")
+    wanted = pairs.join(texts, "item").join(passages.hint("merge"), ["id", "first", "print"])
     kind, item_kind = docs.schema[id_col].dataType.simpleString(), items.schema["item"].dataType.simpleString()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in rows_of(batches, 256):
             hits = []
-            for i, (text, item, diagonals) in enumerate(
-                zip(byte_texts(part.column("text")), byte_texts(part.column("item_text")), part.column("diagonals").to_pylist())
-            ):
-                share, first, last = best_alignment(item.lower().split(), text.lower().split(), diagonals)
+            columns = (part.column("passage").to_pylist(), byte_texts(part.column("item_text")), part.column("diagonals").to_pylist(), part.column("first").to_pylist())
+            for i, (passage, item, diagonals, start) in enumerate(zip(*columns)):
+                share, first, last = best_alignment(item.lower().split(), passage.split(), diagonals, threshold)
                 if share >= threshold:
-                    hits.append((i, share, first, last))
+                    hits.append((i, share, start + first, start + last))
             if hits:
                 rows, share, first, last = zip(*hits)
                 rows = pa.array(rows)
@@ -231,4 +248,6 @@ def contaminated(
                 )
 
     shape = f"id {kind}, item {item_kind}, score double, first_word long, last_word long"
-    return wanted.select("id", "item", "diagonals", "item_text", "text").mapInArrow(score, shape).dropDuplicates(["id", "item"])
+    scored = wanted.select("id", "item", "diagonals", "item_text", "passage", "first").mapInArrow(score, shape)
+    best = scored.groupBy("id", "item").agg(F.max(F.struct("score", "first_word", "last_word")).alias("best"))
+    return best.select("id", "item", "best.*")

@@ -77,6 +77,16 @@ def test_edited_copies_are_found_and_clean_documents_are_not(spark):
     assert decontam.contaminated(frame, bench.limit(0)).count() == 0
 
 
+def test_edited_copies_are_found_among_verbatim_ones(spark):
+    item = [f"w{i}" for i in range(40)]
+    replaced = ["x" if i % 4 == 3 else w for i, w in enumerate(item)]  # keeps ten trigrams, now the most common ones
+    stretched = item[:3] + [w for i, word in enumerate(item[3:]) for w in (f"x{i}", word)]  # one trigram, 37 gaps
+    docs = [(i, " ".join(f"y{i}-{k}" for k in range(30)) + " " + " ".join(t)) for i, t in enumerate([item] * 5 + [replaced, stretched])]
+    bench = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    got = {r.id: (r.score, r.first_word, r.last_word) for r in decontam.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
+    assert got == dict.fromkeys(range(5), (1.0, 30, 70)) | {5: (51 / 80, 30, 69), 6: (43 / 80, 30, 107)}
+
+
 def test_op2_finds_the_planted_passages(spark, folder):
     docs, bench = (pd.read_parquet(f"{folder}/{t}.parquet") for t in ("documents", "benchmark"))
     plain = lambda t: " ".join((t or "").lower().split())

@@ -26,8 +26,8 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
           "option": {"option"}, "body": {"head"}}
 HOLDERS = frozenset("ul ol menu dl table tbody thead tfoot select body html article section div".split())
 
-#: Parts of a page that are no main text, by element, by role, and by words in class or id.
-ASIDE = frozenset("nav aside footer form button select dialog canvas object head menu".split())
+#: Parts of a page that are no main text, by element, by role, and by names in class or id.
+ASIDE = frozenset("nav aside footer button select dialog canvas object head menu".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar".split())
 WORDS = frozenset(
     "nav navbar navigation menu header masthead footer sidebar aside ad ads adv advert adverts advertisement advertisements"
@@ -35,13 +35,21 @@ WORDS = frozenset(
     " modal overlay newsletter subscribe subscription signup login comment comments commentlist respond reply replies disqus"
     " share sharing social related recommended breadcrumb breadcrumbs pagination pager toolbar widget skip".split()
 )
+#: A name of several words tells a part if one is of ``WORDS`` and the others are of these (``site-footer``).
+PLACES = frozenset(
+    "site main top bottom left right primary secondary global container wrapper inner outer box bar list item items area block"
+    " section panel links link form unit slot buttons".split()
+)
+#: Share of a page's prose that makes an element hold the main text, wherever the headline stands.
+MOST = 0.8
 _WORD = re.compile(r"[a-z]+")
 
 
 class Element(NamedTuple):
     name: str
     path: str
-    aside: bool
+    aside: bool  # whatever it holds, by itself or an element around it
+    doubtful: tuple[int, ...]  # it and elements around it that are aside unless they hold the page's main text
     number: int
 
 
@@ -66,13 +74,28 @@ def _is_aside(name: str, attributes: dict[str, str], within: tuple[Element, ...]
         return False
     if attributes.get("role", "").lower() in ROLES:
         return True
-    return any(w in WORDS for w in _WORD.findall(f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()))
+    return False
+
+
+def _is_doubtful(name: str, attributes: dict[str, str], within: tuple[Element, ...]) -> bool:
+    if name == "form":
+        return True
+    if name in ("html", "body", "article", "main", "h1"):
+        return False
+    for token in f"{attributes.get('class', '')} {attributes.get('id', '')}".lower().split():
+        words = set(_WORD.findall(token))
+        telling = words & WORDS
+        if words <= {"header"} and any(e.name in ("article", "main") for e in within):
+            continue
+        if telling and words - telling <= PLACES:
+            return True
+    return False
 
 
 def walk(source: str) -> Iterator[Element | Text]:
     """Every element as it opens, and every stretch of text with the elements around it and its block's number.
 
-    Only elements that shape blocks are on the stack, and ones that stand aside whatever they are. Comments,
+    Only elements that shape blocks are on the stack, and ones that (may) stand aside whatever they are. Comments,
     declarations, scripts, styles and the like are passed over. References are decoded.
     """
     stack: tuple[Element, ...] = ()
@@ -112,22 +135,62 @@ def walk(source: str) -> Iterator[Element | Text]:
                 break
             if stack[depth].name in HOLDERS:
                 break
+        if name in ("svg", "math") and (found[3] or found[6] or "").endswith("/"):
+            continue
         if name in RAW:
             if lowered is None:
                 lowered = source.lower()
                 if len(lowered) != len(source):  # a letter whose lower case is longer
                     lowered = re.sub("[A-Z]", lambda m: m[0].lower(), source)
             end = lowered.find(f"</{name}", at)
+            if end < 0 and name in ("svg", "math"):
+                continue
             close = source.find(">", end) if end >= 0 else -1
             at = close + 1 if close >= 0 else len(source)
             continue
         if name in VOID:
             continue
         attributes = _attributes(found[3] or found[6] or "")
-        aside = _is_aside(name, attributes, stack)
-        if name in BLOCK or aside:
+        aside, doubtful = _is_aside(name, attributes, stack), _is_doubtful(name, attributes, stack)
+        if name in BLOCK or aside or doubtful:
             number += 1
+            around = (*(stack[-1].doubtful if stack else ()), *([number] if doubtful else []))
             mark = _DIGITS.sub("", f"{name}.{attributes.get('class', '')}#{attributes.get('id', '')}")
-            element = Element(name, f"{stack[-1].path if stack else ''}/{mark}", aside or bool(stack and stack[-1].aside), number)
+            element = Element(name, f"{stack[-1].path if stack else ''}/{mark}", aside or bool(stack and stack[-1].aside), around, number)
             stack = (*stack, element)
             yield element
+
+
+def judged(source: str) -> list[tuple[Element | Text, bool]]:
+    """The parts of a page and whether they stand aside.
+
+    A doubtful element holds the main text if more than half of the page's prose is in it (of its articles' prose, if
+    that is at least half of all) and no headline stands outside it in the main text, or if ``MOST`` of the prose is.
+    """
+    parts = list(walk(source))
+    size, inside, headlines = [0, 0], ({}, {}), []
+    for part in parts:
+        if not isinstance(part, Text) or (part.stack and part.stack[-1].aside):
+            continue
+        length = len(" ".join(part.text.split()))
+        if not length:
+            continue
+        doubtful = part.stack[-1].doubtful if part.stack else ()
+        for kind in (0, 1) if any(e.name in ("article", "main") for e in part.stack) else (0,):
+            size[kind] += length
+            for number in doubtful:
+                inside[kind][number] = inside[kind].get(number, 0) + length
+        if any(e.name == "h1" for e in part.stack):
+            headlines.append(set(doubtful))
+    kind = int(size[1] > 0 and 2 * size[1] >= size[0])
+    large = {n for n, held in inside[kind].items() if 2 * held > size[kind]}
+    kept = {
+        n for n in large
+        if inside[kind][n] >= MOST * size[kind] or any(n in h for h in headlines) or all(h - large for h in headlines)
+    }
+
+    def is_aside(part: Element | Text) -> bool:
+        holder = part if isinstance(part, Element) else part.stack[-1] if part.stack else None
+        return holder is not None and (holder.aside or not kept.issuperset(holder.doubtful))
+
+    return [(part, is_aside(part)) for part in parts]

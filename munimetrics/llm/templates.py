@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from munimetrics.llm.common import cut_lineage, rows_of
-from munimetrics.llm.htmlwalk import Element, Text, walk
+from munimetrics.llm.htmlwalk import Element, Text, judged
 
 #: A class is valid with so many tokens that so large a share of the host's pages hold.
 CLASS_TOKENS = 3
@@ -36,12 +36,12 @@ def _tokens(source: str) -> Iterator[tuple]:
     """``(kind, token, n, depth, size, headline, around)`` of a page: elements (kind 0) and text that is not aside (1)."""
     elements: dict[str, list] = {}
     texts: dict[tuple, int] = {}
-    for part in walk(source):
+    for part, aside in judged(source):
         if isinstance(part, Element):
-            if not part.aside:
+            if not aside:
                 held = elements.setdefault(part.path, [0, part.path.count("/"), part.name])
                 held[0] += 1
-        elif not (part.stack and part.stack[-1].aside):
+        elif not aside:
             text = " ".join(part.text.split())
             if text:
                 key = (tuple(e.path for e in part.stack), text, bool(part.stack) and part.stack[-1].name == "h1")
@@ -93,15 +93,15 @@ def main_slots(pages: DataFrame) -> DataFrame:
 
 def main_text(source: str, slot: int | None) -> str:
     """The blocks of the main part of a page, one per line."""
-    parts = list(walk(source))
+    parts = judged(source)
     chosen: set[int] = set()
     for wanted in (lambda e: slot is not None and _hash(e.path) == slot, lambda e: e.name == "article", lambda e: e.name == "main", lambda e: e.name == "body"):
-        chosen = {p.number for p in parts if isinstance(p, Element) and not p.aside and wanted(p)}
+        chosen = {p.number for p, aside in parts if isinstance(p, Element) and not aside and wanted(p)}
         if chosen:
             break
     blocks: dict[int, list[str]] = {}
-    for part in parts:
-        if isinstance(part, Text) and not (part.stack and part.stack[-1].aside):
+    for part, aside in parts:
+        if isinstance(part, Text) and not aside:
             if not chosen or any(e.number in chosen for e in part.stack):
                 blocks.setdefault(part.block, []).append(part.text)
     lines = (" ".join("".join(b).split()) for _, b in sorted(blocks.items()))

@@ -231,3 +231,20 @@ def test_walker_survives_broken_markup():
     for source in ("<", "<a", "<a href=\"x", "</p></p>", "<!-- open", "<script>never", "a < b & c", "<p " + "x" * 100_000, "<div" * 3000):
         list(htmlwalk.walk(source))
     assert templates.main_text("<p>1 &lt; 2 &#x41;&copy", None) == "1 < 2 A©"
+
+
+def test_names_and_forms_around_the_main_text_do_not_hide_it():
+    body = "<p>A first paragraph of some length.</p><p>And a second one.</p>"
+    text = "Head\nA first paragraph of some length.\nAnd a second one."
+    for page in (
+        f"<body><div class='site no-sidebar'><h1>Head</h1>{body}</div>",
+        f"<body><div id='page' class='has-navbar'><h1>Head</h1>{body}</div>",
+        f"<body><form id='aspnetForm'><nav>x</nav><div id='sidebar'>Links</div><h1>Head</h1>{body}</form>",
+        f"<body><div class='widget'><article><h1 class='page-header'>Head</h1>{body}</article></div><div class='related'><article>Other</article></div>",
+        f"<article><div class='entry-header'><h1>Head</h1></div>{body}<div class='site-footer'>Gone</div></article>",
+        f"<article><div class='header'><h1>Head</h1></div>{body}<form>Search</form></article>",
+        f"<article><svg width='1'/><h1>Head</h1><math/>{body}<svg><title>icon</title></svg></article>",
+        f"<article><h1>Head</h1><svg>{body}</article>",
+        f"<article><h1>Head</h1>{body}<div class='comments'>{'A long remark of a reader. ' * 5}</div></article>",
+    ):
+        assert templates.main_text(page, None) == text, page

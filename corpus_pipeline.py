@@ -1,18 +1,28 @@
 """Corpus pipeline: language ID, exact dedup, near-dedup, decontamination, packing.
 
 Each stage takes ``(spark, docs, sf_dir)`` and works on all that the one before has kept. All but the last return the
-columns of ``documents``; rows without a ``doc_id`` cannot be named by a decision and leave at the exact dedup.
+columns of ``documents``. Decisions name a row by its ``doc_id``, which may be null or repeated, and its normalised text.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from munimetrics.llm import bytecnn, decontam, exactdedup, packing, queries, simhash
-from munimetrics.llm.common import cut_lineage
+from munimetrics.llm.common import WHITE, cut_lineage
+
+
+def _row(identifier: Column, sha: Column) -> Column:
+    """What names a row; orders by identifier, rows without one come last."""
+    return F.struct(identifier.isNull().alias("unnamed"), F.coalesce(identifier, F.lit(0)).alias("doc_id"), F.unhex(sha).alias("sha"))
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    text = F.translate(F.coalesce(F.col("text"), F.lit("")), WHITE.decode(), "")
+    return docs.withColumn("_row", _row(F.col("doc_id"), F.sha2(text.cast("binary"), 256)))
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,26 +33,27 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the longest original stays, then the smallest ``doc_id``."""
+    """Of equal texts the longest original stays, then the smallest ``doc_id``; only rows that repeat both collapse."""
     queries.share_package(spark)
-    kept = exactdedup.exact_duplicates(docs).filter("kept").select(F.col("id").alias("doc_id")).distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    kept = exactdedup.exact_duplicates(docs).filter("kept").select(_row(F.col("id"), F.col("sha")).alias("_row")).distinct()
+    return _keyed(docs).join(kept, "_row", "left_semi").dropDuplicates(["_row"]).select(*docs.columns)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of a group linked by fingerprints the smallest ``doc_id`` stays."""
     queries.share_package(spark)
-    groups = simhash.near_duplicates(docs)
-    gone = groups.filter("id <> component_id").select(F.col("id").alias("doc_id")).distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    rows = _keyed(docs)
+    gone = simhash.near_duplicates(rows, "_row").filter("id <> component_id").select(F.col("id").alias("_row")).distinct()
+    return rows.join(gone, "_row", "left_anti").select(*docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a passage aligned with a benchmark item go."""
     queries.share_package(spark)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    gone = decontam.contaminated(docs, items).select(F.col("id").alias("doc_id")).distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    rows = _keyed(docs)
+    gone = decontam.contaminated(rows, items, "_row").select(F.col("id").alias("_row")).distinct()
+    return rows.join(gone, "_row", "left_anti").select(*docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -169,3 +169,20 @@ def test_pipeline_stages_against_brute_force(spark, folder):
     packed = corpus_pipeline.run(spark, folder).collect()
     ids = whole_ids(folder, "word_bpe_49k.json", 1)
     check_packed(packed, {d: ids[d] for d in kept["decontaminate"]})
+
+
+def test_pipeline_stages_keep_rows_without_or_with_repeated_ids(spark, tmp_path):
+    rng = np.random.default_rng(8)
+    words = [" ".join(f"w{k}" for k in rng.integers(0, 5000, 60)) for _ in range(6)]
+    rows = [(None, words[0]), (None, words[1]), (None, words[1]), (4, words[2]), (4, words[3]), (4, words[3] + " "), (5, words[2]),
+            (None, words[2]), (None, words[4]), (6, words[5]), (None, words[5] + " ."), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    spark.createDataFrame([(1, words[4])], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    held = lambda df: sorted((r.doc_id or 0, (r.text or "").strip()) for r in df.collect())
+    exact = corpus_pipeline.cut_lineage(corpus_pipeline.exact_stage(spark, docs, str(tmp_path)))
+    assert held(exact) == sorted([(0, ""), (0, words[0]), (0, words[1]), (4, words[2]), (4, words[3]), (0, words[4]), (6, words[5]), (0, words[5] + " .")])
+    assert exact.columns == docs.columns
+    near = held(corpus_pipeline.near_stage(spark, docs.filter("text is not null"), str(tmp_path)))
+    assert (0, words[5]) not in near and (6, words[5]) in near and (0, words[0]) in near and (0, words[1]) in near
+    clean = held(corpus_pipeline.decontamination_stage(spark, exact, str(tmp_path)))
+    assert clean == [r for r in held(exact) if r[1] != words[4]]

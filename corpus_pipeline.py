@@ -26,9 +26,15 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which no language can be told (no text, no letter) go; the network learns from all folds."""
+    """Documents of which no language can be told (no text, no letter) go; the network learns from all folds.
+
+    Without a labelled row there is no network: all texts that hold a letter stay.
+    """
     queries.share_package(spark)
-    found = bytecnn.identify(docs, bytecnn.fit(docs, held=-1), lang_out="_language", score_out="_share")
+    network = bytecnn.fit(docs, held=-1)
+    if network is None:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
+    found = bytecnn.identify(docs, network, lang_out="_language", score_out="_share")
     return found.filter(F.col("_language") != bytecnn.UNDETERMINED).select(*docs.columns)
 
 

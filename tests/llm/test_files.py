@@ -186,3 +186,9 @@ def test_pipeline_stages_keep_rows_without_or_with_repeated_ids(spark, tmp_path)
     assert (0, words[5]) not in near and (6, words[5]) in near and (0, words[0]) in near and (0, words[1]) in near
     clean = held(corpus_pipeline.decontamination_stage(spark, exact, str(tmp_path)))
     assert clean == [r for r in held(exact) if r[1] != words[4]]
+
+
+def test_language_stage_without_labels_keeps_texts_with_a_letter(spark, folder):
+    rows = [(1, "words here", None), (2, "123 !?", None), (3, None, None), (4, "漢字", None)]
+    kept = corpus_pipeline.language_stage(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string"), folder)
+    assert {r.doc_id for r in kept.collect()} == {1, 4}

@@ -68,23 +68,29 @@ def _slots(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def item_grams(items: DataFrame, item_col: str, text_col: str, words: int = SEED_WORDS) -> DataFrame:
-    """``(item, gram, at, size)``: every n-gram of every item, the word it starts at and the item's words."""
+    """``(item, gram, at, size, words)``: every n-gram of every item, the word it starts at and the item's words.
+
+    An item of fewer words has one n-gram, all of it; the last column tells the n-gram's words.
+    """
     kind = items.schema[item_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = GramHasher(words)
+        hashers = {n: GramHasher(n) for n in range(1, words + 1)}
         for part in rows_of(batches, 512):
-            found = [hasher(t) for t in byte_texts(part.column(1))]
+            texts = byte_texts(part.column(1))
+            sizes = [len(t.split()) for t in texts]
+            found = [hashers[min(words, max(1, n))](t) for n, t in zip(sizes, texts)]
             counts = np.array([len(f) for f in found], np.int64)
             rows = np.repeat(np.arange(len(found)), counts)
             at = np.concatenate([np.arange(c) for c in counts]) if len(found) else np.zeros(0)
+            sizes = np.array(sizes, np.int64)[rows]
             yield pa.RecordBatch.from_arrays(
                 [part.column(0).take(pa.array(rows)), pa.array(np.concatenate(found).view(np.int64)),
-                 pa.array(at.astype(np.int64)), pa.array(counts[rows] + words - 1)],
-                ["item", "gram", "at", "size"],
+                 pa.array(at.astype(np.int64)), pa.array(sizes), pa.array(np.minimum(sizes, words))],
+                ["item", "gram", "at", "size", "words"],
             )
 
-    return items.select(F.col(item_col), F.col(text_col)).mapInArrow(run, f"item {kind}, gram long, at long, size long")
+    return items.select(F.col(item_col), F.col(text_col)).mapInArrow(run, f"item {kind}, gram long, at long, size long, words long")
 
 
 def bloom(grams: DataFrame, bits: int = BLOOM_BITS) -> bytes:
@@ -109,32 +115,40 @@ def _reach(size: int, threshold: float) -> int:
     return int(np.ceil(MATCH * size * (1 - threshold) / -GAP))
 
 
-def places(docs: DataFrame, id_col: str, text_col: str, field: bytes, words: int, bits: int, reach: int) -> DataFrame:
+def places(docs: DataFrame, id_col: str, text_col: str, field: bytes, words: list[int], bits: int, reach: int) -> DataFrame:
     """``(id, first, print, passage, grams, at)``: stretches of documents around n-grams that the filter does not rule out.
 
+    The n-grams are of each of the lengths ``words``.
     A stretch reaches ``reach`` words to either side of each; overlapping ones are merged. ``first`` is its first word
     in the document and ``print`` its hash, ``at`` says where in it the n-grams start.
     """
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, have = GramHasher(words), np.unpackbits(np.frombuffer(field, np.uint8), bitorder="little").astype(bool)
+        hashers, have = [GramHasher(n) for n in words], np.unpackbits(np.frombuffer(field, np.uint8), bitorder="little").astype(bool)
         for part in rows_of(batches, 512):
             ids, firsts, passages, grams, at = [], [], [], [], []
             for i, text in enumerate(byte_texts(part.column(1))):
-                hashes = hasher(text)
-                one, two = _slots(hashes, bits)
-                hit = np.flatnonzero(have[one])
-                hit = hit[have[two[hit]]]
+                hits, kinds = [], []
+                for hasher in hashers:
+                    hashes = hasher(text)
+                    one, two = _slots(hashes, bits)
+                    hit = np.flatnonzero(have[one])
+                    hit = hit[have[two[hit]]]
+                    hits.append(hit)
+                    kinds.append(hashes[hit])
+                hit, hashes = np.concatenate(hits), np.concatenate(kinds)
                 if not len(hit):
                     continue
-                own = text.lower().split()
-                for run_of in np.split(hit, np.flatnonzero(np.diff(hit) > 2 * reach) + 1):
+                order = np.argsort(hit, kind="stable")
+                hit, hashes = hit[order], hashes[order]
+                own, cuts = text.lower().split(), np.flatnonzero(np.diff(hit) > 2 * reach) + 1
+                for run_of, gram in zip(np.split(hit, cuts), np.split(hashes, cuts)):
                     first = max(0, int(run_of[0]) - reach)
                     ids.append(i)
                     firsts.append(first)
                     passages.append(b" ".join(own[first : int(run_of[-1]) + reach]))
-                    grams.append(hashes[run_of].view(np.int64))
+                    grams.append(gram.view(np.int64))
                     at.append(run_of - first)
             if ids:
                 prints = np.fromiter(map(xxhash.xxh64_intdigest, passages), np.uint64, len(passages)).view(np.int64)
@@ -207,17 +221,19 @@ def contaminated(
     """``(id, item, score, first_word, last_word)`` per document and item aligned with at least ``threshold``.
 
     Words are compared without regard to ASCII case. The score is the Smith-Waterman score (match 2, mismatch and
-    gap -1) over that of the item itself. Every n-gram of an item is a seed, however many documents hold it. Null or
-    empty texts and items shorter than an n-gram match nothing; rows without an identifier cannot be named and match
-    nothing. Repeated rows and items are matched as one. Empty tables give empty results.
+    gap -1) over that of the item itself. Every n-gram of an item is a seed, however many documents hold it; an item
+    shorter than an n-gram has its whole word sequence as seed. Null or empty texts match nothing; documents without
+    an identifier cannot be named and match nothing, items without one match under a null item. Of several texts or
+    passages for a document and an item the best aligned one is given. Empty tables give empty results.
     """
-    items = items.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("item_text")).filter(
-        F.col("item").isNotNull() & F.col("item_text").isNotNull()
-    )
-    grams = cut_lineage(item_grams(items, "item", "item_text", seed_words).distinct())
+    items = items.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("item_text")).filter("item_text IS NOT NULL")
+    items = items.withColumn("item", F.xxhash64("item_id", "item_text")).dropDuplicates(["item"])
+    grams = cut_lineage(item_grams(items, "item", "item_text", seed_words))
     field = bloom(grams, bloom_bits)
-    longest = grams.agg(F.max("size")).first()[0] or 0
-    found = cut_lineage(places(docs, id_col, text_col, field, seed_words, bloom_bits, longest + _reach(longest, threshold)))
+    told = grams.agg(F.max("size").alias("longest"), F.collect_set("words").alias("words")).first()
+    longest = told["longest"] or 0
+    reach = longest + _reach(longest, threshold)
+    found = cut_lineage(places(docs, id_col, text_col, field, sorted(told["words"]) or [seed_words], bloom_bits, reach))
     hits = found.select("id", "first", "print", F.explode(F.arrays_zip("grams", F.col("at").alias("places"))).alias("hit"))
     pairs = (
         hits.select("id", "first", "print", F.col("hit.grams").alias("gram"), F.col("hit.places").alias("doc_at")).join(grams, "gram")
@@ -225,10 +241,9 @@ def contaminated(
         .groupBy("id", "first", "print", "item").agg(F.collect_set("diagonal").alias("diagonals"))
     )
     pairs = cut_lineage(pairs)
-    texts = items.dropDuplicates(["item"])
     passages = found.select("id", "first", "print", "passage")
-    wanted = pairs.join(texts, "item").join(passages.hint("merge"), ["id", "first", "print"])
-    kind, item_kind = docs.schema[id_col].dataType.simpleString(), items.schema["item"].dataType.simpleString()
+    wanted = pairs.join(items, "item").join(passages.hint("merge"), ["id", "first", "print"])
+    kind, item_kind = docs.schema[id_col].dataType.simpleString(), items.schema["item_id"].dataType.simpleString()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in rows_of(batches, 256):
@@ -242,12 +257,12 @@ def contaminated(
                 rows, share, first, last = zip(*hits)
                 rows = pa.array(rows)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id").take(rows), part.column("item").take(rows), pa.array(share, pa.float64()),
+                    [part.column("id").take(rows), part.column("item_id").take(rows), pa.array(share, pa.float64()),
                      pa.array(first, pa.int64()), pa.array(last, pa.int64())],
                     ["id", "item", "score", "first_word", "last_word"],
                 )
 
     shape = f"id {kind}, item {item_kind}, score double, first_word long, last_word long"
-    scored = wanted.select("id", "item", "diagonals", "item_text", "passage", "first").mapInArrow(score, shape)
+    scored = wanted.select("id", "item_id", "diagonals", "item_text", "passage", "first").mapInArrow(score, shape)
     best = scored.groupBy("id", "item").agg(F.max(F.struct("score", "first_word", "last_word")).alias("best"))
     return best.select("id", "item", "best.*")

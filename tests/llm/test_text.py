@@ -248,3 +248,11 @@ def test_names_and_forms_around_the_main_text_do_not_hide_it():
         f"<article><h1>Head</h1>{body}<div class='comments'>{'A long remark of a reader. ' * 5}</div></article>",
     ):
         assert templates.main_text(page, None) == text, page
+
+
+def test_short_items_and_items_without_id_are_matched(spark):
+    bench = spark.createDataFrame([(1, "Two words"), (2, "single"), (None, "a b c d"), (None, "five of a kind here"), (3, ""), (4, "one text"), (4, "other text")],
+                                  "item_id long, text string")
+    docs = [(1, "here are two words"), (2, "a SINGLE one"), (3, "x a b c d y"), (4, "five of a kind here a b c d"), (5, "two other words"), (6, "the other text")]
+    got = decontam.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()
+    assert {(r.id, r.item, r.score) for r in got} == {(1, 1, 1.0), (2, 2, 1.0), (3, None, 1.0), (4, None, 1.0), (6, 4, 1.0)} and len(got) == 5

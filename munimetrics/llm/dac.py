@@ -20,12 +20,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from munimetrics.llm.common import rows_of, total_bytes
 from munimetrics.llm.files import read_files, write_bytes
-from munimetrics.llm.tokens import encoder
+from munimetrics.llm.tokens import TextEncoder, text_batches
 
 SEPARATOR = "DACE"
 _MAGIC = b"DACS"
@@ -137,11 +137,12 @@ def write_tokens(
     """Write the token ids of every text, each followed by ``end_id``, in ascending identifier order; returns the folder.
 
     A null text counts as empty; a null identifier comes first; rows that repeat an identifier are all written,
-    ordered by text. Files follow each other by name, an empty table gives none.
+    ordered by the hash of their text, and may lie in several files. Files follow each other by their number; an empty
+    table gives none.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, end = encoder(tokenizer), np.array([end_id], "<u4").tobytes()
+        known, end = TextEncoder(tokenizer), np.array([end_id], "<u4").tobytes()
         names, parts, held = [], [], 0
 
         def batch() -> pa.RecordBatch:
@@ -149,10 +150,11 @@ def write_tokens(
             body = encode_segment(names, ends, np.frombuffer(b"".join(parts), "<u4"))
             return pa.RecordBatch.from_arrays([pa.array([body], pa.binary())], ["segment"])
 
-        for part in rows_of(batches, 256):
-            for name, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+        for part in text_batches(batches, 1):
+            ids, starts, ends = known.encode(part.column(1))
+            for name, s, e in zip(part.column(0).to_pylist(), starts.tolist(), ends.tolist()):
                 names.append(name)
-                parts.append(known.ids(text or "") + end)
+                parts.append(ids[s:e].tobytes() + end)
                 held += len(parts[-1]) // 4
                 if held >= segment_tokens:
                     yield batch()
@@ -162,10 +164,18 @@ def write_tokens(
 
     count = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), total_bytes(docs, text_col) // FILE_BYTES)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    ordered = rows.repartitionByRange(count, "id").sortWithinPartitions("id", "text")
+    # Rows of one identifier, or of none, are dealt out by their text, equal rows by where they were read.
+    ordered = rows.select("*", F.xxhash64("text").alias("key0"), F.monotonically_increasing_id().alias("key1"))
+    ordered = ordered.repartitionByRange(count, "id", "key0", "key1").sortWithinPartitions("id", "key0", "key1").select("id", "text")
     return write_bytes(ordered.mapInArrow(run, "segment binary"), "segment", "tokens", SEPARATOR)
 
 
+def tokens_before(path: Column, tokens: Column) -> Column:
+    """Sum of ``tokens`` over the files of lower number; numbers of more than five digits do not order by name."""
+    number = F.regexp_extract(path, r"part-(\d+)[^/]*$", 1).cast("long")
+    return F.coalesce(F.sum(tokens).over(Window.orderBy(number, path).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """``(id, start, n_tokens, ids_crc32)`` per document of the files below ``path``; ``start`` counts all ids before."""
 
@@ -189,9 +199,6 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
 
     files = read_files(spark, path)
     # One row per file: the only thing that passes through one task.
-    before = files.mapInArrow(sizes, "path string, tokens long").select(
-        "path",
-        F.coalesce(F.sum("tokens").over(Window.orderBy("path").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"),
-    )
+    before = files.mapInArrow(sizes, "path string, tokens long").select("path", tokens_before(F.col("path"), F.col("tokens")).alias("base"))
     found = files.mapInArrow(rows, "path string, id long, inner long, n_tokens long, ids_crc32 long")
     return found.join(before, "path").select("id", (F.col("base") + F.col("inner")).alias("start"), "n_tokens", "ids_crc32")

@@ -16,8 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from munimetrics.llm.common import rows_of
-from munimetrics.llm.tokens import encoder
+from munimetrics.llm.tokens import TextEncoder, text_batches
 
 LENGTH = 2048
 #: Open sequences that a task keeps before it merges them.
@@ -124,7 +123,7 @@ def pack(
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = encoder(tokenizer)
+        known = TextEncoder(tokenizer)
         packer = Packer(length, TaskContext.get().partitionId() << 32)
         done, held, of = [], 0, pa.int64()
 
@@ -140,10 +139,11 @@ def pack(
 
         def flow() -> Iterator[tuple[Piece, int, int]]:
             nonlocal of
-            for part in rows_of(batches, 256):
+            for part in text_batches(batches, 1):
                 of = part.column(0).type
-                for document, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    yield from packer.put(document, known.ids(text or "") + end)
+                ids, starts, ends = known.encode(part.column(1))
+                for document, s, e in zip(part.column(0).to_pylist(), starts.tolist(), ends.tolist()):
+                    yield from packer.put(document, ids[s:e].tobytes() + end)
             yield from packer.close()
 
         for item in flow():

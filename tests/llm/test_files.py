@@ -1,28 +1,69 @@
 import gzip
+import random
 import zlib
 
 import duckdb
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries as registered
 from munimetrics.llm import archives, dac, packing, queries
 from munimetrics.llm.files import members
-from munimetrics.llm.tokens import ChunkEncoder
+from munimetrics.llm.tokens import TextEncoder
 
 TEXTS = ["", "one two", " lead", "trail ", "a  b", "a   b", "x\n y", "x \ny", "tab\t t", "it's we'll DON'T", "ÀÉ ﬁ ß 漢字 🙂🙂 é", "3.14 1,000",
          "a b c", "\n\n", "end\n ", "w" * 300, "so… “quoted”—dash", " ", "x   y"]
 
 
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
-def test_chunks_encode_like_whole_texts(name):
-    whole, own = Tokenizer.from_file(queries.tokenizer_path(name)), ChunkEncoder(queries.tokenizer_path(name), chunks=20)
+@pytest.mark.parametrize("plain", [False, True])
+def test_chunks_encode_like_whole_texts(name, plain):
+    whole, own = Tokenizer.from_file(queries.tokenizer_path(name)), TextEncoder(queries.tokenizer_path(name), plain, 40)
+    whole.encode_special_tokens = plain
     docs = pd.read_parquet("/root/testdata/sf0.001/documents.parquet").text.str[:3000].tolist()
-    for text in TEXTS + docs:
-        assert np.frombuffer(own.ids(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, text[:50]
+    signs = list("aAbzIi .,!?'\n\t  $1②éÉŉſİıǅΣςß漢ﬁ\u0301\u0307\u200d \x00\x1c\x85\xa0🙂<|>")
+    signs += ["<|endoftext|>", "<|startoftext|>", " the ", " Hello,", "ALİ, GEL", "\n\n"]
+    rng = random.Random(3)
+    texts = [None] + TEXTS + docs + ["".join(rng.choices(signs, k=rng.randrange(14))) for _ in range(30_000)]
+    for start in range(0, len(texts), 4000):  # several batches: later ones know words of earlier ones
+        part = texts[start : start + 4000]
+        ids, starts, ends = own.encode(pa.array(part, pa.string()))
+        for text, s, e in zip(part, starts, ends):
+            assert ids[s:e].tolist() == whole.encode(text or "", add_special_tokens=False).ids, text
+
+
+@pytest.mark.parametrize("start", ["a", "é", "Б", "ß", "あ", "ع", "İ", "ǅ", "\u0345"])
+def test_letters_of_many_blocks_before_every_sign(start):
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
+        own = TextEncoder(queries.tokenizer_path(name))
+        texts = [f"{start}{chr(c)}{s} x" for c in range(ord(start), ord(start) + 60) for s in ".,;:!?%&*$#|'-"]
+        ids, starts, ends = own.encode(pa.array(texts))
+        assert [ids[s:e].tolist() for s, e in zip(starts, ends)] == [e.ids for e in own.tokenizer.encode_batch(texts)]
+
+
+def test_files_follow_by_number(spark):
+    names = [f"file:/x/part-{n:05d}-c000.txt" for n in (99_999, 100_000, 100_001, 10_001, 2)]
+    frame = spark.createDataFrame([(n, 10**i) for i, n in enumerate(names)], "path string, tokens long")
+    got = {r[0]: r[1] for r in frame.select("path", dac.tokens_before(F.col("path"), F.col("tokens"))).collect()}
+    assert [got[n] for n in names] == [11_000, 11_001, 11_011, 10_000, 0]
+
+
+def test_token_files_split_rows_without_identifier(spark):
+    rows = [(None if n % 3 else n, f"text number {n % 50}") for n in range(600)]
+    path = dac.write_tokens(spark.createDataFrame(rows, "doc_id long, text string"), queries.tokenizer_path("byte_bpe_50k.json"))
+    got = dac.read_tokens(spark, path).collect()
+    assert len(got) == 600 and sum(r.id is None for r in got) == 400
+    at = 0
+    for r in sorted(got, key=lambda r: r.start):
+        assert r.start == at
+        at += r.n_tokens
+    parts = [[i for s in dac.segments(r.content) for i in s.identifiers] for r in dac.read_files(spark, path).collect()]
+    assert max(map(len, parts)) < 300
 
 
 def whole_ids(folder, name, end):

@@ -7,15 +7,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from munimetrics.session import cut_lineage
+from munimetrics.session import cut_lineage, scratch_path
 
 #: The ASCII white space of the contracts, ``[\x20\x09-\x0D]``; ``bytes.split()`` and ``bytes.strip()`` use the same.
 WHITE = b" \t\n\x0b\x0c\r"
 
-__all__ = ["WHITE", "byte_texts", "crc_fold", "crc_of", "cut_lineage", "rows_of", "total_bytes"]
+__all__ = ["WHITE", "byte_texts", "crc_fold", "crc_of", "cut_lineage", "remove_step", "rows_of", "total_bytes", "write_step"]
 
 
 def byte_texts(column: pa.Array) -> list[bytes]:
@@ -43,6 +43,20 @@ def total_bytes(df: DataFrame, text: str) -> int:
     return int(df.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0)
 
 
+def write_step(rows: DataFrame, name: str) -> str:
+    """Write the rows below the shared folder; their path, to be removed when a later step stands."""
+    path = scratch_path(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return path
+
+
+def remove_step(spark: SparkSession, path: str) -> None:
+    """Remove a written step that nothing reads any more."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def packed(values: np.ndarray) -> bytes:
     """An array as bytes; sorted unsigned keys are stored as differences, which compress better."""
     return np.ascontiguousarray(values).tobytes()

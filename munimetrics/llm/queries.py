@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from munimetrics.llm import archives, bytecnn, dac, decontam, exactdedup, lmscore, packing, quality, simhash, templates
+from munimetrics.llm import vectorcodes
 from munimetrics.llm.common import crc_fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -140,3 +141,57 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 @_bound("op7_extract_text")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return templates.extract(_table(spark, folder, "pages")).withColumnRenamed("id", "page_id")
+
+
+def _codes_sql(parts: int = vectorcodes.PARTS, entries: int = vectorcodes.ENTRIES, rounds: int = vectorcodes.ROUNDS) -> str:
+    """The rounds of assignment and averaging written out one after the other."""
+    steps = [
+        f"""WITH kept AS (
+        SELECT vec_id, label, embedding FROM embeddings
+        WHERE len(embedding) = (SELECT count(*) FROM (SELECT unnest(embedding) AS x) WHERE isfinite(x))
+    ), spread AS (
+        SELECT vec_id, unnest(embedding) AS x, unnest(range(len(embedding))) AS i, len(embedding) // {parts} AS width FROM kept
+    ), component AS MATERIALIZED (
+        SELECT vec_id, i // width AS part, i % width AS position, CAST(floor({vectorcodes.SCALE} * x::DOUBLE) AS BIGINT) AS v FROM spread
+    ), book0 AS MATERIALIZED (
+        SELECT part, entry, position, v AS c FROM component JOIN (
+            SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM kept ORDER BY vec_id LIMIT {entries}
+        ) USING (vec_id)
+    )"""
+    ]
+    for r in range(rounds + 1):
+        steps.append(
+            f"""near{r} AS MATERIALIZED (
+        SELECT vec_id, part, entry, d FROM (
+            SELECT vec_id, part, entry, CAST(sum((v - c) * (v - c)) AS BIGINT) AS d
+            FROM component JOIN book{r} USING (part, position) GROUP BY ALL
+        ) QUALIFY row_number() OVER (PARTITION BY vec_id, part ORDER BY d, entry) = 1
+    )"""
+        )
+        if r < rounds:
+            steps.append(
+                f"""book{r + 1} AS MATERIALIZED (
+        SELECT part, entry, position, CAST(CASE WHEN n IS NULL THEN c ELSE (s - (s % n + n) % n) // n END AS BIGINT) AS c
+        FROM book{r} LEFT JOIN (
+            SELECT part, entry, position, sum(v) AS s, count(*) AS n
+            FROM component JOIN near{r} USING (vec_id, part) GROUP BY ALL
+        ) USING (part, entry, position)
+    )"""
+            )
+    return ", ".join(steps) + f""", coded AS (
+        SELECT vec_id, string_agg(lpad(to_hex(entry), 2, '0'), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error
+        FROM near{rounds} GROUP BY vec_id
+    )
+    SELECT vec_id, lower(code) AS code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+           (SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY part, entry, position)) FROM book{rounds}) AS codebooks_sha256
+    FROM coded JOIN kept USING (vec_id)
+    """
+
+
+@_bound("op13_vector_codes", _codes_sql())
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    coded, books = vectorcodes.compress(_table(spark, folder, "embeddings"))
+    return vectorcodes.label_errors(coded).select(
+        F.col("id").alias("vec_id"), F.lower(F.hex("code")).alias("code"), "error", "label_error",
+        F.lit(vectorcodes.digest(books[-1]) if books else None).cast("string").alias("codebooks_sha256"),
+    )

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from munimetrics.llm import archives, bytecnn, dac, decontam, exactdedup, lmscore, packing, quality, simhash, templates
-from munimetrics.llm import vectorcodes
+from munimetrics.llm import chat, vectorcodes
 from munimetrics.llm.common import crc_fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -143,6 +143,36 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     return templates.extract(_table(spark, folder, "pages")).withColumnRenamed("id", "page_id")
 
 
+#: A conversation that says the control strings themselves; its number is that of no row.
+PROBE = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def _chat_sql() -> str:
+    plain = "regexp_replace(coalesce({}, ''), '" + chat.DEFAULT.marked.pattern + "', '" + r"\1\2\\\3" + "', 'g')"
+    probe = ", ".join(f"({c}, {t}, '{r}', '{x}')" for c, t, r, x in PROBE)
+    return f"""
+    WITH told AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT * FROM (VALUES {probe}) AS probe(conv_id, turn, role, text)
+    ), joined AS (
+        SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
+               coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
+               CAST(sum(length({plain.format("role")}) + length({plain.format("text")})) AS BIGINT) AS plain
+        FROM told GROUP BY conv_id
+    )
+    SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+           {len(chat.BEGIN)} + {len(chat.OPEN + chat.CLOSE + chat.STOP)} * n_turns + plain AS formatted_chars
+    FROM joined
+    """
+
+
+@_bound("op11_chat_format", _chat_sql())
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    rows = rows.unionByName(spark.createDataFrame(PROBE, rows.schema))
+    return chat.read_back(chat.format_conversations(rows)).withColumnRenamed("id", "conv_id")
+
+
 def _codes_sql(parts: int = vectorcodes.PARTS, entries: int = vectorcodes.ENTRIES, rounds: int = vectorcodes.ROUNDS) -> str:
     """The rounds of assignment and averaging written out one after the other."""
     steps = [

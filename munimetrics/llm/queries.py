@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from munimetrics.llm import archives, bytecnn, dac, decontam, exactdedup, lmscore, packing, quality, simhash, templates
-from munimetrics.llm import chat, vectorcodes
+from munimetrics.llm import align, chat, vectorcodes
 from munimetrics.llm.common import crc_fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -173,6 +173,13 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(rows)).withColumnRenamed("id", "conv_id")
 
 
+@_bound("op12_cross_tokenizer")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    paths = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
+    rows, _ = align.align(_table(spark, folder, "documents"), *paths)
+    return rows.withColumnRenamed("id", "doc_id")
+
+
 def _codes_sql(parts: int = vectorcodes.PARTS, entries: int = vectorcodes.ENTRIES, rounds: int = vectorcodes.ROUNDS) -> str:
     """The rounds of assignment and averaging written out one after the other."""
     steps = [

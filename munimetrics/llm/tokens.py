@@ -36,7 +36,7 @@ _JOINED = 200
 Pieces = tuple[np.ndarray, np.ndarray]  # joined ids, number of ids of each piece
 
 
-def _take(pieces: Pieces, which: np.ndarray) -> Pieces:
+def take_pieces(pieces: Pieces, which: np.ndarray) -> Pieces:
     """The pieces that ``which`` names, in its order."""
     ids, sizes = pieces
     lengths = sizes[which]
@@ -108,7 +108,7 @@ class TextEncoder:
             if bounds[-1] == last[-1] and (bounds[ends] == last).all() and (bounds[starts] == last - sizes).all():
                 # What stands between two runs is a piece of its own that nobody asks for.
                 cuts = np.diff(np.column_stack((starts, ends)).ravel(), append=len(ids))
-                return _take((ids, cuts), np.arange(0, 2 * count, 2))
+                return take_pieces((ids, cuts), np.arange(0, 2 * count, 2))
         return self._alone(words.to_pylist())
 
     def _runs(self, heads: pa.Array) -> Pieces:
@@ -122,11 +122,11 @@ class TextEncoder:
             fresh = pa.concat_arrays([new.filter(spaced), new.filter(pc.invert(spaced))])
             ids = _join(self._joined(new.filter(spaced), ""), self._joined(new.filter(pc.invert(spaced)), "\n"))
         known, known_ids = pa.concat_arrays([self.known, fresh]), _join(self.known_ids, ids)
-        found = _take(known_ids, pc.index_in(heads, value_set=known).to_numpy())
+        found = take_pieces(known_ids, pc.index_in(heads, value_set=known).to_numpy())
         room = min(self.remember, len(known))
         if room > len(self.known):
             short = np.flatnonzero(pc.less(pc.binary_length(known), 24).to_numpy(zero_copy_only=False))[:room]
-            self.known, self.known_ids = known.take(pa.array(short)), _take(known_ids, short)
+            self.known, self.known_ids = known.take(pa.array(short)), take_pieces(known_ids, short)
         return found
 
     def _chunks(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -158,7 +158,7 @@ class TextEncoder:
         pair[~other, 0] = heads.indices.to_numpy()
         pair[~other, 1] = tails.indices.to_numpy() + len(first[1])
         pair[other, 0] = np.arange(len(alone[1])) + len(first[1]) + len(second[1])
-        ids, sizes = _take(_join(first, second, alone, (np.zeros(0, "<u4"), np.zeros(1, np.int64))), pair.ravel())
+        ids, sizes = take_pieces(_join(first, second, alone, (np.zeros(0, "<u4"), np.zeros(1, np.int64))), pair.ravel())
         return ids, sizes.reshape(-1, 2).sum(1)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -167,7 +167,7 @@ class TextEncoder:
         chunks, counts, order = self._chunks(texts)
         coded = chunks.dictionary_encode()
         del chunks
-        ids, sizes = _take(self._distinct(coded.dictionary), coded.indices.to_numpy())
+        ids, sizes = take_pieces(self._distinct(coded.dictionary), coded.indices.to_numpy())
         bounds = np.concatenate(([0], np.cumsum(sizes)))[np.concatenate(([0], np.cumsum(counts)))]
         starts, ends = np.empty(len(texts), np.int64), np.empty(len(texts), np.int64)
         starts[order], ends[order] = bounds[:-1], bounds[1:]

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -57,7 +58,7 @@ class ByteLevelTokenizer(ByteTokens):
     """A byte-level vocabulary file; its special tokens are plain text."""
 
     def __init__(self, path: str):
-        self.encoder = TextEncoder(path, plain_specials=True)
+        self.encoder = self.fresh(path)
         characters = byte_level_characters()
         vocabulary = self.encoder.tokenizer.get_vocab(with_added_tokens=True)
         spelled = [b""] * (max(vocabulary.values()) + 1)
@@ -65,6 +66,10 @@ class ByteLevelTokenizer(ByteTokens):
             spelled[number] = bytes(characters[c] for c in token) if all(c in characters for c in token) else token.encode()
         super().__init__(spelled)
 
+    @staticmethod
+    def fresh(path: str) -> TextEncoder:
+        return TextEncoder(path, plain_specials=True)
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of a space and each text, joined, and their number by text."""
         ids, starts, ends = self.encoder.encode(pc.binary_join_element_wise(pa.scalar("", texts.type), texts, pa.scalar(" ", texts.type)))
@@ -91,6 +96,16 @@ class PieceTokenizer(ByteTokens):
         return np.concatenate([np.zeros(0, "<u4"), *found]), np.array([len(f) for f in found], np.int64)
 
 
+@cache
+def _byte_level(path: str) -> ByteLevelTokenizer:
+    return ByteLevelTokenizer(path)
+
+
+@cache
+def _pieces(path: str) -> PieceTokenizer:
+    return PieceTokenizer(path)
+
+
 def lanes(ends_a: np.ndarray, ends_b: np.ndarray, sizes_a: np.ndarray, sizes_b: np.ndarray, lane: int = LANE) -> np.ndarray:
     """Where pointers start and where A's stops, one row for each document and each further place of a long one."""
     stops_a, stops_b = np.cumsum(sizes_a), np.cumsum(sizes_b)
@@ -167,7 +182,9 @@ class Aligner:
     """Aligns batches of texts; see ``align`` for what it gives."""
 
     def __init__(self, path_a: str, path_b: str):
-        self.a, self.b = ByteLevelTokenizer(path_a), PieceTokenizer(path_b)
+        # Both stay loaded in a worker process; the words that the first one remembers go with the task.
+        self.a, self.b = _byte_level(path_a), _pieces(path_b)
+        self.a.encoder = self.a.fresh(path_a)
 
     def batch(self, texts: pa.Array, lane: int = LANE) -> dict[str, np.ndarray | list]:
         """Counts by text, groups by text, distinct pairs with the number of texts, and their texts with multiplicity."""

@@ -16,6 +16,8 @@ import json
 import os
 import re
 from collections.abc import Iterator
+from functools import cache
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +32,7 @@ _RUNS = (
 )
 _BEFORE_SPACE = re.compile(r"(?<=\S)(?= \S)")
 #: Text bytes that are encoded at once.
-BATCH_BYTES = 12 << 20
+BATCH_BYTES = 8 << 20
 _JOINED = 200
 
 Pieces = tuple[np.ndarray, np.ndarray]  # joined ids, number of ids of each piece
@@ -61,23 +63,33 @@ def text_batches(batches: Iterator[pa.RecordBatch], column: int, most: int = BAT
             start = end
 
 
+@cache
+def _loaded(path: str, plain_specials: bool) -> tuple[Any, np.ndarray, str]:
+    """The tokenizer, the length of its entries, and the suffix of those that close a word; once in a worker process."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = plain_specials
+    suffix = json.loads(tokenizer.to_str())["model"].get("end_of_word_suffix") or ""
+    vocabulary = tokenizer.get_vocab(with_added_tokens=True)
+    widths = np.zeros(max(vocabulary.values()) + 1, np.int64)
+    for token, number in vocabulary.items():
+        widths[number] = token.endswith(suffix) if suffix else len(token)
+    return tokenizer, widths, suffix
+
+
 class TextEncoder:
-    """Encodes batches of texts; ``remember`` letter runs stay known from batch to batch (some 10 MB for the default)."""
+    """Encodes batches of texts; ``remember`` letter runs stay known from batch to batch (some 10 MB for the default).
 
-    def __init__(self, path: str, plain_specials: bool = False, remember: int = 150_000):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+    The tokenizer itself stays loaded in a worker process, what an encoder remembers goes with it.
+    """
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = plain_specials
+    def __init__(self, path: str, plain_specials: bool = False, remember: int = 150_000):
+        # One character of a byte-level entry stands for one byte; the other kind closes a run with a suffix.
+        self.tokenizer, self.widths, _ = _loaded(path, plain_specials)
         upper, lower, spaced = (self._alone([t])[0].tolist() for t in ("AbC", "abc", " abc"))
         self.folds, self.strips = upper == lower, lower == spaced
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        # One character of a byte-level entry stands for one byte; the other kind closes a run with a suffix.
-        suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix") or "\0"
-        self.widths = np.zeros(max(vocabulary.values()) + 1, np.int64)
-        for token, number in vocabulary.items():
-            self.widths[number] = token.endswith(suffix) if self.strips else len(token)
         self.remember = remember
         self.known, self.known_ids = pa.array([], pa.large_string()), self._alone([])
 
@@ -171,4 +183,5 @@ class TextEncoder:
         bounds = np.concatenate(([0], np.cumsum(sizes)))[np.concatenate(([0], np.cumsum(counts)))]
         starts, ends = np.empty(len(texts), np.int64), np.empty(len(texts), np.int64)
         starts[order], ends[order] = bounds[:-1], bounds[1:]
+        pa.default_memory_pool().release_unused()
         return ids, starts, ends

@@ -63,21 +63,28 @@ SHEET_NUMBERS = {
 }
 
 
+_CODE = "CASE WHEN c_custkey % 11 = 0 THEN 'A-' || CAST(c_custkey AS VARCHAR) ELSE {number} END"
+
+
 def _city_sheets(spark: SparkSession, folder: str) -> str:
-    """State folders of sheet lines: title and header lines, one line per customer, footer notes."""
+    """A sheet per state: titles, among them a long one, the header, one line per customer, footer notes."""
     people = table(spark, folder, "customer").join(
         table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
     )
     state = F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("uf")
     numbers = [F.expr(sql.replace("VARCHAR", "STRING")) for sql in SHEET_NUMBERS.values()]
-    cells = [F.col("c_name"), roles.padded(F.col("c_custkey"), 7), F.lit("gentílico"), F.lit("prefeito"), *numbers]
-    lines = people.select(state, F.concat_ws(",", *cells).alias("value"))
-    around = ["Cidades e Estados", "Município [-],Código [-],Gentílico [-]", "Notas:", "Fonte,Notas: pesquisa"]
-    others = table(spark, folder, "nation").select(
-        state, F.explode(F.array(*[F.lit(line) for line in around])).alias("value")
-    )
+    odd = F.concat(F.lit("A-"), F.col("c_custkey").cast("string"))
+    code = F.when(F.col("c_custkey") % 11 == 0, odd).otherwise(roles.padded(F.col("c_custkey"), 7))
+    cells = [F.col("c_name"), code, F.lit("gentílico"), F.lit("prefeito"), *numbers]
+    lines = people.select(state, F.lit(5).alias("rank"), F.concat_ws(",", *cells).alias("value"))
+    around = ["Cidades e Estados", "x,1100015," + "título " * 400, ",,", "Código [-],Municipio [-],Gentílico [-]", "", "Notas:", "Fonte,Notas: pesquisa"]
+    ranked = F.posexplode(F.array(*[F.lit(line) for line in around])).alias("at", "value")
+    others = table(spark, folder, "nation").select(state, ranked)
+    others = others.select("uf", F.when(F.col("at") < 4, F.col("at")).otherwise(F.col("at") + 2).alias("rank"), "value")
     path = scratch_path(spark, "cidades")
-    lines.unionByName(others).hint("rebalance", "uf").write.mode("overwrite").partitionBy("uf").text(path)
+    # One file per state, its lines in order.
+    sheets = lines.unionByName(others).repartition("uf").sortWithinPartitions("uf", "rank").drop("rank")
+    sheets.write.mode("overwrite").partitionBy("uf").text(path)
     return path
 
 
@@ -85,7 +92,7 @@ SHEETS_SQL = "SELECT c_name AS nome, {code} AS codigo_municipio, {numbers}, 'N'
 _NUMBERS_SQL = ", ".join(
     f"CAST(regexp_replace({sql}, '-', '0') AS DOUBLE) AS {name}" for name, sql in SHEET_NUMBERS.items()
 )
-_FULL_CODE = "lpad(CAST(c_custkey AS VARCHAR), greatest(7, length(CAST(c_custkey AS VARCHAR)))::INTEGER, '0')"
+_FULL_CODE = _CODE.format(number="lpad(CAST(c_custkey AS VARCHAR), greatest(7, length(CAST(c_custkey AS VARCHAR)))::INTEGER, '0')")
 
 
 @bound("sheet_rows_clean", SHEETS_SQL.format(code=_FULL_CODE, numbers=_NUMBERS_SQL))
@@ -135,6 +142,30 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame:
     ).distinct()
 
 
+@bound(
+    "planned_ingest",
+    """SELECT o_orderkey::VARCHAR AS "ORDER", CASE WHEN year(o_orderdate) % 3 <> 1 THEN o_orderstatus END AS "STATUS",
+  CASE WHEN year(o_orderdate) % 3 <> 0 THEN o_orderpriority || ';"' END AS "PRIORITY", strftime(o_orderdate, '%Y-%m-01') AS data_competencia FROM orders""",
+)
+def planned_ingest(spark: SparkSession, folder: str) -> DataFrame:
+    """Monthly files with three kinds of headers, and those of another table beside them, read in one scan."""
+    orders = table(spark, folder, "orders")
+    own = {"ORDER": F.col("o_orderkey").cast("string"), "STATUS": F.col("o_orderstatus"), "PRIORITY": F.concat("o_orderpriority", F.lit(';"'))}
+    path = scratch_path(spark, "raw")
+    for kind, names in enumerate((["ORDER", "STATUS"], ["PRIORITY", "ORDER"], ["STATUS", "PRIORITY", "ORDER"])):
+        rows = orders.where(F.year("o_orderdate") % 3 == kind)
+        file = F.concat(F.lit("tbOrders"), F.date_format("o_orderdate", "yyyyMM"), F.lit(".csv")).alias("file")
+        tables.write_delimited(rows.select(*(own[n].alias(n) for n in names), file), f"{path}/kind={kind}", ["file"])
+    others = table(spark, folder, "supplier").select(F.col("s_name").alias("NAME"), F.lit("tbSupplier199801.csv").alias("file"))
+    tables.write_delimited(others, f"{path}/kind=3", ["file"])
+
+    def dataset(place):
+        return F.regexp_extract(place, r"file=([^/]+)/", 1)
+
+    plan = files.plan_headers(spark, path, ".csv", dataset)
+    return files.scan_planned(spark, plan, "tborders", dataset)
+
+
 @bound("base_table_name", "SELECT o_orderkey, 'tborders' || lower(o_orderstatus) AS base FROM orders")
 def base_table_name(spark: SparkSession, folder: str) -> DataFrame:
     month = F.date_format("o_orderdate", "yyyyMM")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from munimetrics.bindings import standins as roles
 from munimetrics.bindings.registry import bound, table
 from munimetrics.bindings.standins import FEATURES, FEATURES_SQL
-from munimetrics.operators import clustering, features, stats
+from munimetrics.operators import clustering, features, hierarchy, stats
 from munimetrics.operators.ordering import positions
 from munimetrics.session import cut_lineage
 
@@ -167,6 +167,12 @@ def recluster_noise(spark: SparkSession, folder: str) -> DataFrame:
     return again.select("p_partkey", "cluster")
 
 
+@bound("density_hierarchy")
+def density_hierarchy(spark: SparkSession, folder: str) -> DataFrame:
+    found = hierarchy.hierarchy_clusters(_plane(spark, folder), "p_partkey", "x", "y", 20, 30)
+    return found.select("p_partkey", "cluster")
+
+
 @bound("two_stage_clusters")
 def two_stage_clusters(spark: SparkSession, folder: str) -> DataFrame:
     scaled = features.standardize(roles.part_features(spark, folder).drop("p_type"), FEATURES)

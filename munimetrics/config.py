@@ -124,12 +124,14 @@ FACILITY_TYPES = [
 ]
 UNKNOWN_FACILITY_TYPE = "DESCONHECIDO"
 
-# The 13 positional columns of a city sheet; two are read and not kept, nine are numbers.
+# The 13 positional columns of a city sheet, the cells that tell its header; two columns are read and not
+# kept, nine are numbers.
 CITY_SHEET_COLUMNS = [
     "nome", "codigo_municipio", "gentilico", "prefeito", "area_km2", "populacao_residente",
     "densidade_demografica", "escolarizacao_6_14", "idhm", "mortalidade_infantil",
     "total_receitas_brutas_realizadas", "total_despesas_brutas_empenhadas", "pib_per_capita",
 ]
+CITY_SHEET_MARKS = ["Município [-]", "Municipio [-]"]
 CITY_SHEET_UNUSED = ["gentilico", "prefeito"]
 CITY_NUMERIC_COLUMNS = CITY_SHEET_COLUMNS[4:]
 CITY_TABLE_COLUMNS = [c for c in CITY_SHEET_COLUMNS if c not in CITY_SHEET_UNUSED] + ["uf"]

@@ -14,7 +14,7 @@ from munimetrics.functions.text import title_case_strings
 from munimetrics.operators.dedup import dedup_ignoring_snapshot, latest_per_key
 from munimetrics.operators.joins import lookup
 from munimetrics.sources.files import (
-    STEM_PATTERN, base_table_name, list_files, scan_city_sheets, scan_file, union_aligned, with_snapshot_date,
+    STEM_PATTERN, base_table_name, list_files, plan_headers, scan_city_sheets, scan_file, scan_planned, union_aligned, with_snapshot_date,
 )
 from munimetrics.sources.tables import load_cities, write_parquet
 
@@ -64,11 +64,17 @@ def clean_table(name: str, df: DataFrame) -> DataFrame:
 def ingest_registry(spark: SparkSession, raw_folder: str, out_folder: str, suffix: str = ".csv") -> dict[str, DataFrame]:
     """Read, align, clean and write every monthly registry table; returns the written tables by name.
 
-    Tables of one row per month are partitioned by it, so that a job on one month reads that month's files only.
+    Delimited files are read in one scan a table, whatever their number and headers; Parquet files one by one. Tables of
+    one row per month are partitioned by it, so that a job on one month reads that month's files only.
     """
-    written = {}
-    for name, paths in snapshot_files(spark, raw_folder, suffix).items():
-        cleaned = clean_table(name, monthly_table(spark, paths))
+    written, read = {}, {}
+    if suffix == ".csv":
+        plan = plan_headers(spark, raw_folder, suffix)
+        read = {name: fix_codes(scan_planned(spark, plan, name)) for name in plan.headers}
+    else:
+        read = {name: monthly_table(spark, paths) for name, paths in snapshot_files(spark, raw_folder, suffix).items()}
+    for name, table in read.items():
+        cleaned = clean_table(name, table)
         monthly = [] if name == "tbestabelecimento" else ["data_competencia"]
         written[name] = write_parquet(cleaned, os.path.join(out_folder, name), monthly)
     return written
@@ -89,12 +95,15 @@ def ingest_deaths(spark: SparkSession, path: str, municipalities: DataFrame, out
 
 
 def ingest_census(spark: SparkSession, folder: str, out_folder: str, suffix: str = ".csv") -> dict[str, DataFrame]:
-    """Census tables saved as CSV, one file each: ``codigo`` stays text, every other column is a number."""
+    """Census tables saved as CSV, one file each: ``codigo`` stays text, every other column is a number or blank.
+
+    Any other text in a number's place is an error.
+    """
     files = list_files(spark, folder, suffix).select(F.regexp_extract("path", STEM_PATTERN, 1).alias("name"), "path")
     written = {}
     for row in files.orderBy("path").collect():
         table = scan_file(spark, row["path"])
-        numbers = {c: F.col(f"`{c}`").try_cast("double") for c in table.columns if c != "codigo"}
+        numbers = {c: F.nullif(F.trim(F.col(f"`{c}`")), F.lit("")).cast("double") for c in table.columns if c != "codigo"}
         written[row["name"]] = write_parquet(table.withColumns(numbers), os.path.join(out_folder, row["name"]))
     return written
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import csv
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 
 from munimetrics import config
 from munimetrics.functions.text import dash_as_zero
+from munimetrics.session import cut_lineage
 
 # Written for a value that is absent, so that an empty string stays an empty string.
 NULL_MARK = "\\N"
@@ -76,6 +79,90 @@ def with_snapshot_date(df: DataFrame, file_name: str | None = None, name: str =
     return df.withColumn(name, snapshot_date(source))
 
 
+@dataclass
+class HeaderPlan:
+    """The distinct headers of a folder's files, and which file has which.
+
+    ``files`` holds ``(path, base, month, header)`` per file and stays a table; ``headers`` gives, for each base name, the
+    columns of every distinct header line by its text: as many as there are kinds of files, however many files.
+    """
+
+    folder: str
+    suffix: str
+    files: DataFrame
+    headers: dict[str, dict[str, list[str]]]
+
+
+#: A character that no line holds: with it as separator and no quotes a line is one field.
+_NO_SEPARATOR = "\x01"
+
+
+def _line_order() -> Column:
+    """Orders the lines of a file: by the split that read them, then by their place in it."""
+    return F.struct(F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("line"))
+
+
+def _raw_lines(spark: SparkSession, folder: str, suffix: str, encoding: str) -> DataFrame:
+    options = {"sep": _NO_SEPARATOR, "quote": "", "header": False, "encoding": encoding, "pathGlobFilter": f"*{suffix}"}
+    return spark.read.options(recursiveFileLookup=True, **options).schema("line string").csv(folder)
+
+
+def plan_headers(
+    spark: SparkSession, folder: str, suffix: str = ".csv", file_name: Callable[[Column], Column] = lambda path: path, **options
+) -> HeaderPlan:
+    """Read the first line of every file below ``folder`` in tasks and group the files by it.
+
+    ``file_name`` gives the name that tells table and month from a path. Only distinct header lines reach the driver.
+    """
+    chosen = {**CSV_OPTIONS, **options}
+    lines = _raw_lines(spark, folder, suffix, chosen["encoding"])
+    starts = lines.where(F.col("_metadata.file_block_start") == 0).select(
+        F.col("_metadata.file_path").alias("path"), "line", _line_order().alias("place")
+    )
+    first = starts.groupBy("path").agg(F.min_by("line", "place").alias("header"))
+    name = file_name(F.col("path"))
+    files = cut_lineage(first.select("path", base_table_name(name).alias("base"), snapshot_date(name).alias("month"), "header"))
+    headers: dict[str, dict[str, list[str]]] = {}
+    for row in files.select("base", "header").distinct().orderBy("base", "header").collect():
+        cells = next(csv.reader([row["header"]], delimiter=chosen["sep"], quotechar=chosen["quote"]))
+        columns = [c if c else f"_c{n}" for n, c in enumerate(cells)]
+        if len({c.lower() for c in columns}) < len(columns):
+            raise ValueError(f"a header of {row['base']!r} names a column twice: {row['header']!r}")
+        headers.setdefault(row["base"], {})[row["header"]] = columns
+    return HeaderPlan(folder, suffix, files, headers)
+
+
+def scan_planned(
+    spark: SparkSession, plan: HeaderPlan, base: str, file_name: Callable[[Column], Column] = lambda path: path,
+    name: str = "data_competencia", **options,
+) -> DataFrame:
+    """All files of a table in one scan, each row under the columns of its own file's header, with the file's month.
+
+    Fields are read by position; a row finds its header through the table of files. Columns that a file lacks are null,
+    columns come out sorted. The reader lists the folder and leaves out the files of other tables by their name, so that
+    no list of paths is made here.
+    """
+    headers = plan.headers[base]
+    widest = max(map(len, headers.values()))
+    fields = ", ".join(f"`_p{n}` string" for n in range(widest))
+    reader = spark.read.options(**{**CSV_OPTIONS, **options}, recursiveFileLookup=True, pathGlobFilter=f"*{plan.suffix}")
+    path = F.col("_metadata.file_path")
+    rows = reader.schema(fields).csv(plan.folder).where(base_table_name(file_name(path)) == base)
+    own = plan.files.where(F.col("base") == base).select(F.col("path").alias("_path"), "month", "header")
+    rows = rows.withColumn("_path", path).join(own, "_path")
+    columns = sorted({c for names in headers.values() for c in names})
+
+    def value(column: str) -> Column:
+        out = F.lit(None).cast("string")
+        for header, names in headers.items():
+            if column in names:
+                out = F.when(F.col("header") == header, F.col(f"_p{names.index(column)}")).otherwise(out)
+        return out.alias(column)
+
+    found = {c: value(c) for c in columns} | {name: F.col("month").alias(name)}
+    return rows.select(*(found[c] for c in sorted(found)))
+
+
 def _text_wins(frames: Sequence[DataFrame]) -> list[DataFrame]:
     """Columns that are text in one frame become text in all: a number and a text have no other common type."""
     kinds: dict[str, set[str]] = {}
@@ -102,17 +189,25 @@ def scan_city_sheets(
 ) -> DataFrame:
     """Per-state city sheets, saved as delimited text, to clean typed rows.
 
-    A sheet has title lines, a header, 13 positional columns and footer notes. Rows are the lines whose
-    second field is a whole number, with blanks around or a ``.0`` behind as sheet exports leave them; the state
-    comes from the file path by ``state_pattern``.
+    A sheet has title lines, a header, 13 positional columns and footer notes. The header is the first row of which a
+    cell is one of ``config.CITY_SHEET_MARKS``, however many lines stand before it; rows are the lines behind it that have
+    a code which does not hold the footer mark. Blanks around a code go, and the ``.0`` that sheet exports put behind
+    whole numbers. The state comes from the file path by ``state_pattern``. A sheet without a header is an error.
     """
     fields = ", ".join(f"`{c}` string" for c in config.CITY_SHEET_COLUMNS)
     raw = spark.read.option("recursiveFileLookup", True).options(sep=sep).schema(fields).csv(path)
-    state = F.upper(F.regexp_extract(F.col("_metadata.file_path"), state_pattern, 1))
-    code = F.regexp_extract("codigo_municipio", r"^\s*(\d+)(?:\.0+)?\s*$", 1)
-    rows = raw.select("*", state.alias("uf")).withColumn("codigo_municipio", code).where(code != "")
+    cells = [F.trim(F.col(f"`{c}`")) for c in config.CITY_SHEET_COLUMNS]
+    marked = F.exists(F.array(*cells), lambda cell: cell.isin(config.CITY_SHEET_MARKS))
+    # Written once, so that a line has one place however often it is read.
+    placed = cut_lineage(raw.select("*", F.col("_metadata.file_path").alias("_path"), _line_order().alias("_place"), marked.alias("_marked")))
+    headers = placed.groupBy("_path").agg(F.min(F.when(F.col("_marked"), F.col("_place"))).alias("_header"))
+    missing = F.raise_error(F.concat(F.lit("no header row in "), F.col("_path")))
+    below = placed.join(headers, "_path").where(F.coalesce(F.col("_place") > F.col("_header"), missing.cast("boolean")))
+    code = F.regexp_replace(F.trim("codigo_municipio"), r"^(\d+)\.0+$", "$1")
+    rows = drop_footer(below.withColumn("codigo_municipio", F.nullif(code, F.lit(""))), "codigo_municipio")
+    rows = rows.withColumn("uf", F.upper(F.regexp_extract("_path", state_pattern, 1)))
     numbers = {c: dash_as_zero(F.col(c)).cast("double") for c in config.CITY_NUMERIC_COLUMNS}
-    return rows.drop(*config.CITY_SHEET_UNUSED).withColumns(numbers)
+    return rows.drop(*config.CITY_SHEET_UNUSED, "_path", "_place", "_marked", "_header").withColumns(numbers)
 
 
 def drop_footer(df: DataFrame, column: str, mark: str = "Notas") -> DataFrame:

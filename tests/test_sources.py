@@ -1,6 +1,6 @@
 import pytest
 
-from munimetrics.plans.ingest import fix_codes, ingest_registry, snapshot_files
+from munimetrics.plans.ingest import fix_codes, ingest_census, ingest_registry, snapshot_files
 from munimetrics.sources import files, tables
 
 
@@ -67,3 +67,69 @@ def test_ingest_months(spark, tmp_path):
 def test_metadata_keeps_nulls(spark):
     meta = tables.run_metadata(spark, {"k": 5, "f": ["a"], "s": None, "m": {"0": 1}})
     assert meta.first()["meta"] == '{"k":5,"f":["a"],"s":null,"m":{"0":1}}'
+
+
+def test_a_thousand_files_of_three_headers_in_one_scan(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    headers = ["A;B", "B;C;A", "\"A\";D é"]
+    for n in range(1000):
+        rows = {0: f"a{n};\"b;{n}\"", 1: f"b{n};;a{n}", 2: f"a{n};\"\""}[n % 3]
+        (raw / f"tbX{1900 + n // 12}{n % 12 + 1:02d}.csv").write_text(f"{headers[n % 3]}\n{rows}\n{rows}\n", "latin-1")
+    (raw / "other202201.csv").write_text("Z\n1\n")
+    (raw / "empty202201.csv").write_text("")
+    plan = files.plan_headers(spark, str(raw))
+    assert {k: len(v) for k, v in plan.headers.items()} == {"tbx": 3, "other": 1}
+    table = files.scan_planned(spark, plan, "tbx")
+    assert table._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 1
+    assert table.columns == ["A", "B", "C", "D é", "data_competencia"]
+    got = {tuple(r) for r in table.collect()}
+    want = set()
+    for n in range(1000):
+        own = {0: (f"a{n}", f"b;{n}", None, None), 1: (f"a{n}", f"b{n}", None, None), 2: (f"a{n}", None, None, "")}[n % 3]
+        want.add((*own, f"{1900 + n // 12}-{n % 12 + 1:02d}-01"))
+    assert got == want and table.count() == 2000
+    assert files.scan_planned(spark, plan, "other").collect()[0]["Z"] == "1"
+
+
+def test_planned_scan_equals_files_one_by_one(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "t202201.csv").write_text('X;Y\n1;"a"\n2\n3;"";extra\n')
+    (raw / "t202202.csv").write_text('Y;;X\n\\N;z;4\n"q""r;";;5\n')
+    one = union_of(spark, [str(raw / "t202201.csv"), str(raw / "t202202.csv")])
+    planned = files.scan_planned(spark, files.plan_headers(spark, str(raw)), "t")
+    assert planned.columns == one.columns
+    assert sorted(map(str, planned.collect())) == sorted(map(str, one.collect()))
+    (raw / "u202201.csv").write_text("X;x\n1;2\n")
+    with pytest.raises(ValueError):
+        files.plan_headers(spark, str(raw))
+
+
+def union_of(spark, paths):
+    return files.union_aligned([files.with_snapshot_date(files.scan_file(spark, p)) for p in paths])
+
+
+def test_sheet_header_is_searched(spark, tmp_path):
+    folder = tmp_path / "sheets"
+    folder.mkdir()
+    values = "1,10,3,4,5,6,7,8,9"
+    titles = [f"Título {n},110001{n},x" for n in range(40)]
+    rows = [f"Cidade,A-12,g,p,{values}", f"Outra, 1100023.0 ,g,p,{values}", f"Sem,,g,p,{values}", "", f"Vila,12.50,g,p,{values}"]
+    (folder / "ro.csv").write_text("\n".join([*titles, "x, Municipio [-] ,y", *rows, "Notas:", "Fonte,Notas: x", "fim,,"]))
+    (folder / "ac.csv").write_text("\n".join(["Município [-]", f"Município [-],7,g,p,{values}"]))
+    got = {(r.uf, r.codigo_municipio) for r in files.scan_city_sheets(spark, str(folder)).collect()}
+    assert got == {("RO", "A-12"), ("RO", "1100023"), ("RO", "12.50"), ("AC", "7")}
+    (folder / "sp.csv").write_text(f"Cidade,1,g,p,{values}\n")
+    with pytest.raises(Exception, match="no header row in"):
+        files.scan_city_sheets(spark, str(folder)).collect()
+
+
+def test_census_numbers_are_strict(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "taxa.csv").write_text("codigo;a\n01;1.5\n02; \n")
+    assert [r.a for r in ingest_census(spark, str(raw), str(tmp_path / "out"))["taxa"].orderBy("codigo").collect()] == [1.5, None]
+    (raw / "taxa.csv").write_text("codigo;a\n01;1,5\n")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        ingest_census(spark, str(raw), str(tmp_path / "out"))

@@ -1,20 +1,17 @@
-"""Clustering: density clusters with noise, k-means, divisive hierarchy, silhouette, label alignment."""
+"""Clustering: density clusters with noise, k-means, Ward's tree, silhouette, label alignment."""
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from munimetrics.operators.features import _VECTOR, assembled, project
 from munimetrics.operators.ordering import positions
+from munimetrics.operators.partitional import fit_kmeans, hashed_rows, kmeans_labels, ward_clusters
 from munimetrics.session import cut_lineage
 
 NOISE = -1
@@ -321,51 +318,20 @@ def kmeans_best_of(
     restarts: int = 20,
     seed: int = 42,
     name: str = "label",
-    parallelism: int = 8,
     iterations: int = 300,
 ) -> DataFrame:
     """K-means with the lowest cost of several starts. Returns the key and the label.
 
-    The starts are independent jobs of short stages, so several are kept running at once.
+    All starts share every pass over the rows; see ``partitional.fit_kmeans`` for the fit and what it reports.
     """
-    vectors = assembled(df, features, [key]).persist()
+    rows = hashed_rows(df, key, features)
+    fit = fit_kmeans(rows, k, restarts, seed, iterations)
+    return rows.select(key, F.lit(0).alias(name)) if fit is None else kmeans_labels(rows, key, fit.centres, name)
 
-    def fit(start: int):
-        return KMeans(k=k, seed=seed + start, maxIter=iterations, featuresCol=_VECTOR, predictionCol=name).fit(vectors)
 
-    try:
-        with ThreadPool(parallelism) as pool:
-            models = pool.map(inheritable_thread_target(df.sparkSession)(fit), range(restarts))
-        best = min(models, key=lambda model: model.summary.trainingCost)
-    finally:
-        vectors.unpersist()
-    return best.transform(assembled(df, features, [key])).select(key, name)
-
-
-def hierarchical_clusters(
-    df: DataFrame, key: str, features: Sequence[str], k: int = 5, seed: int = 42, name: str = "label",
-    iterations: int = 300,
-) -> DataFrame:
-    """Divisive hierarchy cut at ``k`` clusters; labels differ from those of an agglomerative tree.
-
-    The cluster with the largest squared error is split by 2-means, which stops as soon as its centres rest, until
-    there are ``k`` clusters or none with two different rows. The assignment is written after each split.
-    """
-    rows = cut_lineage(assembled(df, features, [key]).select(key, _VECTOR, F.lit(0).alias(name)))
-    moments = Summarizer.metrics("count", "variance").summary(F.col(_VECTOR)).alias("_moments")
-    total = None
-    for leaf in range(1, k):
-        spreads = rows.groupBy(name).agg(moments).select(name, "_moments.count", "_moments.variance").collect()
-        errors = {row[name]: float(sum(row["variance"])) * (row["count"] - 1) for row in spreads}
-        widest = max(errors, key=errors.get, default=None)
-        total = errors.get(0, 0.0) if total is None else total
-        if widest is None or errors[widest] <= 1e-12 * total:
-            break
-        part = rows.where(F.col(name) == widest)
-        model = KMeans(k=2, seed=seed, maxIter=iterations, featuresCol=_VECTOR, predictionCol="_half").fit(part)
-        moved = (F.col(name) == widest) & (F.col("_half") == 1)
-        rows = cut_lineage(model.transform(rows).select(key, _VECTOR, F.when(moved, leaf).otherwise(F.col(name)).alias(name)))
-    return rows.select(key, name)
+def hierarchical_clusters(df: DataFrame, key: str, features: Sequence[str], k: int = 5, name: str = "label") -> DataFrame:
+    """Ward's tree cut at ``k`` clusters; see ``partitional.ward_clusters``. Returns the key and the label."""
+    return ward_clusters(df, key, features, k, name)
 
 
 def silhouette(df: DataFrame, features: Sequence[str], label: str) -> float | None:

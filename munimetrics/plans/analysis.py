@@ -82,7 +82,7 @@ def analyse(
     scores, mappings = {}, {}
     alternatives = {
         "kmeans": clustering.kmeans_best_of(scaled, key, selected, settings.n_clusters_alt, settings.restarts, settings.seed),
-        "agglomerative": clustering.hierarchical_clusters(scaled, key, selected, settings.n_clusters_alt, settings.seed),
+        "agglomerative": clustering.hierarchical_clusters(scaled, key, selected, settings.n_clusters_alt),
     }
     for name, alternative in alternatives.items():
         alternative = cut_lineage(alternative)

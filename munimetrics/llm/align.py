@@ -26,8 +26,8 @@ from munimetrics.llm.common import cut_lineage, rows_of
 from munimetrics.llm.tokens import TextEncoder, take_pieces, text_batches
 
 #: Text bytes of a chunk, tokens after which a document enters the vector again, and tokens searched for such a place.
-CHUNK_BYTES = 6 << 20
-LANE = 2048
+CHUNK_BYTES = 2 << 20
+LANE = 1024
 _WINDOW = 64
 #: Steps whose cuts are handed on together.
 _BLOCK = 256

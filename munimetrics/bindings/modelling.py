@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from munimetrics.bindings import standins as roles
 from munimetrics.bindings.registry import bound, table
 from munimetrics.bindings.standins import FEATURES, FEATURES_SQL
-from munimetrics.operators import clustering, features, hierarchy, stats
+from munimetrics.operators import assignment, clustering, features, hierarchy, stats
 from munimetrics.operators.ordering import positions
 from munimetrics.session import cut_lineage
 
@@ -266,6 +266,22 @@ def align_labels(spark: SparkSession, folder: str) -> DataFrame:
     return clustering.align_labels(labelled, "cluster", "label").select("c_custkey", "label", "aligned")
 
 
+@bound(
+    "label_assignment",
+    """WITH RECURSIVE pairs AS (SELECT c_nationkey % 5 AS cluster, ascii(c_mktsegment) % 7 AS label, count(*) AS n FROM customer GROUP BY ALL),
+tried AS (SELECT -1 AS cluster, CAST(0 AS BIGINT) AS used, CAST(0 AS BIGINT) AS total
+  UNION ALL SELECT t.cluster + 1, t.used | coalesce(1 << p.label, 0), CAST(t.total + coalesce(p.n, 0) AS BIGINT)
+  FROM tried t JOIN (SELECT * FROM pairs UNION ALL SELECT c, NULL, 0 FROM range(5) AS r(c)) p
+    ON p.cluster = t.cluster + 1 AND (p.label IS NULL OR t.used & (1 << p.label) = 0))
+SELECT max(total) AS total FROM tried WHERE cluster = 4""",
+)
+def label_assignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows that the best one-to-one assignment of two labellings puts under equal names."""
+    labelled = table(spark, folder, "customer").select(
+        (F.col("c_nationkey") % 5).alias("cluster"), (F.ascii("c_mktsegment") % 7).alias("label")
+    )
+    pairs = assignment.best_label_pairs(labelled, "cluster", "label")
+    return labelled.join(pairs, ["cluster", "label"], "left_semi").agg(F.count(F.lit(1)).alias("total"))
 
 
 @bound(

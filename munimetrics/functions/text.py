@@ -41,32 +41,21 @@ def _folding_tables() -> tuple[str, str, dict[str, str]]:
     return "".join(single), "".join(single.values()), expanded
 
 
-@cache
-def _long_forms() -> str:
-    """The characters with a longer form as ranges of a pattern's character class."""
-    runs: list[list[int]] = []
-    for code in sorted(map(ord, _folding_tables()[2])):
-        if runs and runs[-1][1] == code - 1:
-            runs[-1][1] = code
-        else:
-            runs.append([code, code])
-    return "".join(f"\\x{{{first:X}}}-\\x{{{last:X}}}" for first, last in runs)
-
-
 def fold_accents(text: Column) -> Column:
     """Letters without accents and compatibility forms spelled out; other characters stay as they are."""
     source, target, expanded = _folding_tables()
-    forms = F.from_json(F.lit(json.dumps(expanded)), "map<string,string>")
-    # Long forms are rare: only a text that holds one is cut at them and put together again.
-    pieces = F.regexp_extract_all(text, F.lit(f"[{_long_forms()}]|[^{_long_forms()}]+"), F.lit(0))
-    spelled = F.array_join(F.transform(pieces, lambda piece: F.coalesce(F.try_element_at(forms, piece), piece)), "")
-    return F.translate(F.when(text.rlike(f"[{_long_forms()}]"), spelled).otherwise(text), source, target)
+    forms, longer = F.from_json(F.lit(json.dumps(expanded)), "map<string,string>"), "".join(expanded)
+    # Most texts are ASCII, and long forms are rare: a text is taken apart only where deleting them shortens it.
+    spelled = F.array_join(F.transform(F.split(text, ""), lambda c: F.coalesce(F.try_element_at(forms, c), c)), "")
+    folded = F.translate(text, source, target)
+    short = F.char_length(F.translate(folded, longer, "")) == F.char_length(folded)
+    return F.when(F.octet_length(text) == F.char_length(text), text).when(short, folded).otherwise(F.translate(spelled, source, target))
 
 
 def clean_label(text: Column) -> Column:
     """Lower-case ASCII identifier: no tags, no accents, blanks and hyphens to one underscore."""
-    plain = fold_accents(F.regexp_replace(text, r"<.*?>", ""))
-    kept = F.regexp_replace(plain, r"[^a-zA-Z0-9_\s\-]+", "")
+    untagged = F.when(F.contains(text, F.lit("<")), F.regexp_replace(text, r"<.*?>", "")).otherwise(text)
+    kept = F.regexp_replace(fold_accents(untagged), r"[^a-zA-Z0-9_\s\-]+", "")
     joined = F.regexp_replace(kept, r"[\s\-_]+", "_")
     return F.lower(F.trim(joined, F.lit("_")))
 

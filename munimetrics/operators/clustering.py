@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.sql import Column, DataFrame
@@ -275,11 +275,13 @@ def recluster_noise(
     eps: float | None = None,
     name: str = "cluster",
     reproject: bool = True,
+    cluster: Callable[..., DataFrame] | None = None,
 ) -> DataFrame:
     """Cluster the noise rows again, number the new clusters after the old ones, keep the rest as it is.
 
     ``features`` are projected to two dimensions over the noise rows alone; with ``reproject=False`` they
-    are the two coordinates themselves.
+    are the two coordinates themselves. ``cluster`` is ``hierarchy.hierarchy_clusters`` or one of its kind, else one
+    density level is used.
     """
     largest = df.agg(F.max(name)).first()[0]
     offset = (NOISE if largest is None else largest) + 1
@@ -290,7 +292,10 @@ def recluster_noise(
     if reproject:
         x, y = "_first", "_second"
         noise = cut_lineage(project(noise, features, (x, y)).select(key, x, y))
-    second = density_clusters(noise, key, x, y, min_samples, min_cluster_size, eps, "_again")
+    if cluster is None:
+        second = density_clusters(noise, key, x, y, min_samples, min_cluster_size, eps, "_again")
+    else:
+        second = cluster(noise, key, x, y, min_samples, min_cluster_size, "_again")
     found = second.where(F.col("_again") != NOISE).select(key, (F.col("_again") + offset).alias("_again"))
     merged = df.join(found, key, "left")
     return merged.withColumn(name, F.coalesce("_again", name)).select(*[F.col(f"`{c}`") for c in df.columns])

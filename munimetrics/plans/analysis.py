@@ -14,6 +14,8 @@ from munimetrics.functions.scalars import (
 )
 from munimetrics.functions.text import lower_columns
 from munimetrics.operators import clustering, features as prep, stats
+from munimetrics.operators.assignment import best_label_pairs
+from munimetrics.operators.hierarchy import hierarchy_clusters
 from munimetrics.operators.aggregates import crosstab
 from munimetrics.operators.joins import check_unique, join_admissions
 from munimetrics.session import cut_lineage
@@ -31,6 +33,8 @@ class Settings:
     seed: int = 42
     var_threshold: float = 0.05
     corr_threshold: float = 0.90
+    #: Clusters of all densities by stability; without it those of one density level.
+    hierarchy: bool = True
 
 
 def prepare(municipal: DataFrame, admissions: DataFrame) -> DataFrame:
@@ -56,15 +60,14 @@ def analyse(
     # Labels come back by key, so a repeated key would multiply rows.
     base = check_unique(cut_lineage(prepare(municipal, admissions)), key, "municipal table")
     features = present(base, config.HEALTH_FEATURES)
-    scaled = prep.standardize(base.select(key, *[F.col(f"`{c}`") for c in features]), features)
+    scaled = cut_lineage(prep.standardize(base.select(key, *[F.col(f"`{c}`") for c in features]), features))
 
     projected = cut_lineage(prep.project(scaled, features))
-    first = cut_lineage(
-        clustering.density_clusters(
-            projected, key, "umap_x", "umap_y", settings.min_samples, settings.min_cluster_size
-        )
+    cluster = hierarchy_clusters if settings.hierarchy else clustering.density_clusters
+    first = cut_lineage(cluster(projected, key, "umap_x", "umap_y", settings.min_samples, settings.min_cluster_size))
+    labelled = clustering.recluster_noise(
+        first, key, features, settings.noise_samples, settings.noise_cluster_size, cluster=hierarchy_clusters if settings.hierarchy else None
     )
-    labelled = clustering.recluster_noise(first, key, features, settings.noise_samples, settings.noise_cluster_size)
     labels = cut_lineage(labelled.select(key, "cluster", "umap_x", "umap_y"))
     clustered = base.join(labels, key)
 
@@ -88,7 +91,7 @@ def analyse(
         alternative = cut_lineage(alternative)
         paired = cut_lineage(labels.select(key, "cluster").join(alternative, key))
         scores[name] = clustering.silhouette(scaled.join(alternative, key), selected, "label")
-        pairs = clustering.label_pairs(paired, "cluster", "label")
+        pairs = cut_lineage(best_label_pairs(paired, "cluster", "label"))
         mappings[name] = {row["label"]: row["cluster"] for row in pairs.orderBy("label").collect()}
         aligned = clustering.align_labels(paired, "cluster", "label", pairs=pairs)
         reports[f"matriz_correspondencia_{name}"] = crosstab(paired, "cluster", "label")

@@ -166,6 +166,24 @@ def planned_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return files.scan_planned(spark, plan, "tborders", dataset)
 
 
+@bound(
+    "load_by_month",
+    """SELECT o_orderkey, CASE WHEN month(o_orderdate) % 2 = 1 THEN lower(o_orderpriority) ELSE o_orderpriority END AS priority,
+  strftime(o_orderdate, '%Y-%m-01') AS data_competencia FROM orders WHERE month(o_orderdate) % 2 = 0 OR o_orderstatus <> 'F'""",
+)
+def load_by_month(spark: SparkSession, folder: str) -> DataFrame:
+    """Odd months are loaded, then even ones, then odd ones again with other rows."""
+    orders = table(spark, folder, "orders")
+    month = F.date_format("o_orderdate", "yyyy-MM-01").alias("data_competencia")
+    odd, path = F.month("o_orderdate") % 2 == 1, scratch_path(spark, "months")
+    own = ["o_orderkey", F.col("o_orderpriority").alias("priority"), month]
+    tables.load_months(orders.where(odd).select(*own), path)
+    tables.load_months(orders.where(~odd).select(*own), path)
+    again = orders.where(odd & (F.col("o_orderstatus") != "F"))
+    named = [r[0] for r in orders.where(odd).select(month).distinct().collect()]
+    return tables.load_months(again.select("o_orderkey", F.lower("o_orderpriority").alias("priority"), month), path, months=named)
+
+
 @bound("base_table_name", "SELECT o_orderkey, 'tborders' || lower(o_orderstatus) AS base FROM orders")
 def base_table_name(spark: SparkSession, folder: str) -> DataFrame:
     month = F.date_format("o_orderdate", "yyyyMM")

@@ -9,6 +9,7 @@ from munimetrics.bindings import standins as roles
 from munimetrics.bindings.registry import bound, table
 from munimetrics.operators import aggregates as agg
 from munimetrics.operators import joins, serving
+from munimetrics.session import cut_lineage
 
 
 @bound(
@@ -226,3 +227,19 @@ FROM orders GROUP BY o_orderpriority""",
 )
 def crosstab(spark: SparkSession, folder: str) -> DataFrame:
     return agg.crosstab(table(spark, folder, "orders"), "o_orderpriority", "o_orderstatus")
+
+
+@bound(
+    "count_distinct_by_month",
+    """SELECT event_type, count(DISTINCT user_id) AS users, count(DISTINCT props) AS texts FROM events GROUP BY event_type""",
+)
+def count_distinct_by_month(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct users and texts per type out of monthly sets, without the rows."""
+    events = table(spark, folder, "events").withColumn("month", F.date_format("ts", "yyyy-MM"))
+    numbers = agg.numbered(events, "props")
+    by, counts = ["event_type", "month"], None
+    for entity, name, rows in (("user_id", "users", events), ("number", "texts", events.join(numbers, "props", "left"))):
+        monthly = cut_lineage(agg.distinct_bitmaps(rows, by, entity))
+        merged = agg.bitmap_distinct(monthly, ["event_type"], name)
+        counts = merged if counts is None else counts.join(merged, "event_type")
+    return counts

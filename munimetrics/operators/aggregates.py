@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from munimetrics import config
+from munimetrics.session import cut_lineage
 
 
 def grouped_sum(df: DataFrame, by: str, sums: Mapping[str, Column]) -> DataFrame:
@@ -96,3 +97,44 @@ def sort_nulls_last(df: DataFrame, columns: Sequence[str], descending: Sequence[
 
 def label_sizes(df: DataFrame, label: str = "cluster", name: str = "n") -> DataFrame:
     return df.groupBy(label).agg(F.count(F.lit(1)).alias(name)).orderBy(label)
+
+
+def distinct_bitmaps(df: DataFrame, by: Sequence[str], entity: str) -> DataFrame:
+    """Exact sets of a whole-number ``entity`` per group as bitmaps: ``(by..., bucket, bits)``.
+
+    A bitmap holds 32,768 numbers, so dense numbers make few of them; see ``numbered`` for text. Nulls are in no set.
+    """
+    groups = [F.col(f"`{c}`") for c in by]
+    known = df.where(F.col(entity).isNotNull())
+    places = known.select(*groups, F.bitmap_bucket_number(entity).alias("bucket"), F.bitmap_bit_position(entity).alias("_place"))
+    return places.groupBy(*groups, "bucket").agg(F.bitmap_construct_agg("_place").alias("bits"))
+
+
+def merge_bitmaps(bitmaps: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Union of the sets over all columns but ``by``, without the rows they were made of."""
+    groups = [F.col(f"`{c}`") for c in by]
+    return bitmaps.groupBy(*groups, "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+
+
+def bitmap_distinct(bitmaps: DataFrame, by: Sequence[str], name: str = "n") -> DataFrame:
+    """Distinct entities per group, from sets of any finer grouping."""
+    groups = [F.col(f"`{c}`") for c in by]
+    return merge_bitmaps(bitmaps, by).groupBy(*groups).agg(F.sum(F.bitmap_count("bits")).alias(name))
+
+
+def numbered(df: DataFrame, entity: str, known: DataFrame | None = None) -> DataFrame:
+    """``(entity, number)``: a number from 1 on for every distinct value, those ``known`` keep theirs.
+
+    Numbers run within the tasks that gave them, in blocks of equal width, so they are dense but for the blocks' ends.
+    """
+    fresh = df.select(entity).where(F.col(entity).isNotNull()).distinct()
+    if known is not None:
+        fresh = fresh.join(known, entity, "left_anti")
+    fresh = cut_lineage(fresh)
+    placed = fresh.select(entity, F.spark_partition_id().alias("_task"), F.monotonically_increasing_id().alias("_at"))
+    # The lower 33 bits count within a task.
+    placed = cut_lineage(placed.withColumn("_at", F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))))
+    widest = placed.agg(F.max("_at")).first()[0]
+    start = 0 if known is None else known.agg(F.max("number")).first()[0] or 0
+    own = placed.select(entity, (F.lit(start + 1) + F.col("_task").cast("long") * F.lit((widest or 0) + 1) + F.col("_at")).alias("number"))
+    return own if known is None else known.select(entity, "number").unionByName(own)

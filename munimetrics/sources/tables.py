@@ -6,8 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from munimetrics import config
+from munimetrics.session import cut_lineage
 from munimetrics.sources.files import CSV_OPTIONS
 
 
@@ -81,3 +83,57 @@ def _json_struct(value):
 
 def write_metadata(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").text(path)
+
+
+def _manifest(path: str) -> str:
+    return path.rstrip("/") + "_manifest"
+
+
+def _told(df: DataFrame, month: str) -> DataFrame:
+    """Rows and an order-free sum of row hashes per month."""
+    others = [F.col(f"`{c}`") for c in sorted(df.columns) if c != month]
+    hashed = F.xxhash64(*others).cast("decimal(20,0)")
+    return df.groupBy(month).agg(F.count(F.lit(1)).alias("rows"), F.sum(hashed).cast("decimal(38,0)").alias("hashes"))
+
+
+def load_months(df: DataFrame, path: str, month: str = "data_competencia", months: Sequence[str] = ()) -> DataFrame:
+    """Replace the months that ``df`` holds, and those named in ``months``, in the table at ``path``; others stay.
+
+    Only these months' folders are written, so a rerun of one month costs that month. A manifest beside the table tells the
+    rows and hashes of each month as loaded; it is written after the rows. A named month without rows has none
+    afterwards. Returns the table as ``read_months`` does. Months are text; ``df`` must not read from the table.
+    """
+    spark = df.sparkSession
+    told = _told(df, month)
+    if months:
+        named = spark.createDataFrame([(m,) for m in months], f"`{month}` string")
+        empty = named.join(told, month, "left_anti").select(month, F.lit(0).cast("long").alias("rows"), F.lit(None).cast("decimal(38,0)").alias("hashes"))
+        told = told.unionByName(empty)
+    told = cut_lineage(told)
+
+    def replace(rows: DataFrame, place: str) -> None:
+        writer = rows.hint("rebalance", month).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(month).parquet(place)
+
+    replace(df, path)
+    replace(told, _manifest(path))
+    return read_months(spark, path, df.schema, month)
+
+
+def _loaded(spark: SparkSession, path: str, month: str) -> DataFrame:
+    return spark.read.schema(f"rows long, hashes decimal(38,0), `{month}` string").parquet(_manifest(path))
+
+
+def read_months(spark: SparkSession, path: str, schema: StructType, month: str = "data_competencia") -> DataFrame:
+    """The table at ``path`` without months whose last load had no rows."""
+    emptied = _loaded(spark, path, month).where("rows = 0").select(F.col(month).alias("_month"))
+    table = spark.read.schema(schema).parquet(path)
+    return table.join(emptied, F.col(month).eqNullSafe(F.col("_month")), "left_anti")
+
+
+def months_out_of_step(spark: SparkSession, path: str, schema: StructType, month: str = "data_competencia") -> DataFrame:
+    """Months whose rows are not those of the manifest, as after a load that broke off: load these again."""
+    here = _told(read_months(spark, path, schema, month), month).select(F.col(month).alias("_month"), F.struct("rows", "hashes").alias("_here"))
+    told = _loaded(spark, path, month).where("rows > 0").select(month, F.struct("rows", "hashes").alias("_told"))
+    both = told.join(here, F.col(month).eqNullSafe(F.col("_month")), "full")
+    return both.where(~F.col("_told").eqNullSafe(F.col("_here"))).select(F.coalesce(month, "_month").alias(month))

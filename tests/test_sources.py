@@ -1,5 +1,7 @@
 import pytest
+from pyspark.sql import functions as F
 
+from munimetrics.operators import aggregates
 from munimetrics.plans.ingest import fix_codes, ingest_census, ingest_registry, snapshot_files
 from munimetrics.sources import files, tables
 
@@ -133,3 +135,43 @@ def test_census_numbers_are_strict(spark, tmp_path):
     (raw / "taxa.csv").write_text("codigo;a\n01;1,5\n")
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         ingest_census(spark, str(raw), str(tmp_path / "out"))
+
+
+def test_months_are_replaced_one_by_one(spark, tmp_path):
+    path = str(tmp_path / "t")
+
+    def load(rows, **settings):
+        frame = spark.createDataFrame(rows, "id int, data_competencia string")
+        return {tuple(r) for r in tables.load_months(frame, path, **settings).collect()}, frame.schema
+
+    one, two = "2022-01-01", "2022-02-01"
+    load([(1, one), (2, one), (9, None)])
+    files_of = lambda m: sorted(p.name for p in (tmp_path / "t" / f"data_competencia={m}").iterdir())
+    load([(3, two)])
+    kept = files_of(two)
+    got, schema = load([(4, one)])
+    assert got == {(4, one), (3, two), (9, None)} and files_of(two) == kept
+    assert tables.months_out_of_step(spark, path, schema).count() == 0
+    assert load([(5, two)], months=[one, two])[0] == {(5, two), (9, None)}
+    assert load([(4, one)])[0] == {(4, one), (5, two), (9, None)}
+    # A load that broke off between rows and manifest is seen, and loading the month again mends it.
+    spark.createDataFrame([(7, two)], schema).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("data_competencia").parquet(path)
+    assert [r[0] for r in tables.months_out_of_step(spark, path, schema).collect()] == [two]
+    load([(7, two)])
+    assert tables.months_out_of_step(spark, path, schema).count() == 0
+
+
+def test_sets_add_up_over_months(spark):
+    rows = [(p, m, e) for p in "ab" for m in range(3) for e in [1, 32768, 32769, 10**12, m, -m, None]]
+    frame = spark.createDataFrame(rows, "place string, month int, id long")
+    sets = aggregates.distinct_bitmaps(frame, ["place", "month"], "id")
+    for by in (["place"], ["month"], ["place", "month"], []):
+        want = {tuple(r)[: len(by)]: r["n"] for r in frame.groupBy(*by).agg(F.count_distinct("id").alias("n")).collect()}
+        assert {tuple(r)[: len(by)]: r["n"] for r in aggregates.bitmap_distinct(sets, by).collect()} == want
+    texts = spark.createDataFrame([(f"t{n % 500}",) for n in range(2000)] + [(None,)], "t string").repartition(5)
+    first = aggregates.numbered(texts, "t")
+    more = spark.createDataFrame([("t1",), ("u",), ("v",)], "t string")
+    again = {r.t: r.number for r in aggregates.numbered(more, "t", first).collect()}
+    known = {r.t: r.number for r in first.collect()}
+    assert len(known) == len(set(known.values())) == 500 and max(known.values()) < 4000
+    assert again | known == again and len(set(again.values())) == 502

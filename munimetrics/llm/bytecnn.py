@@ -13,10 +13,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from munimetrics.llm.common import byte_texts, crc_of
+from munimetrics.llm.common import byte_texts
 
 WINDOW = 252  # a multiple of every width
 WIDTHS = (2, 3, 4)
@@ -128,7 +128,8 @@ def fit(
     """Train on a bounded sample: about ``per_class`` texts of each language, ``windows_per_doc`` windows of each.
 
     Rows with a null language, a null text or crc32(id) modulo ``folds`` equal to ``held`` are not learned from.
-    The sample is chosen by a hash of identifier and text; at most ``2 * per_class`` texts of a language are taken.
+    The sample is chosen by a hash of text and language, so that it does not depend on identifiers, and texts that occur
+    many times are taken once; at most ``2 * per_class`` texts of each language are taken, those of smallest hash.
     Without any labelled row there is no network.
     """
     from munimetrics.llm.common import crc_fold
@@ -136,12 +137,16 @@ def fit(
     known = docs.filter(
         F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (crc_fold(F.col(id_col), folds) != held)
     ).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    known = known.withColumn("draw", F.xxhash64("text", "lang", F.lit("sample")))
+    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.approx_count_distinct("draw", 0.02).alias("n")).collect()}
     if not sizes:
         return None
-    share = F.create_map(*(F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, per_class / n))))
-    draw = F.pmod(F.xxhash64("id", "lang", F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
-    chosen = known.filter(draw < F.element_at(share, F.col("lang")))
+    share = F.create_map(*(F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, per_class / max(n, 1)))))
+    uniform = F.pmod("draw", F.lit(1 << 30)) / float(1 << 30)
+    # Copies of a text share a draw and are one text of the sample.
+    drawn = known.filter(uniform < F.element_at(share, F.col("lang"))).groupBy("lang", "draw").agg(F.min_by("text", "draw").alias("text"))
+    first = Window.partitionBy("lang").orderBy(F.pmod("draw", F.lit(1 << 30)), "draw")
+    chosen = drawn.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= 2 * per_class).select("draw", "text", "lang")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
@@ -149,14 +154,14 @@ def fit(
             for identifier, text, lang in zip(part.column(0).to_pylist(), byte_texts(part.column(1)), part.column(2).to_pylist()):
                 own = windows_of(text)
                 step = np.unique(np.linspace(0, len(own) - 1, windows_per_doc).astype(int))
-                ids += [crc_of(identifier)] * len(step)
+                ids += [identifier] * len(step)
                 rows += [own[i].tobytes() for i in step]
                 langs += [lang] * len(step)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(rows, pa.binary()), pa.array(langs, pa.string())], ["id", "w", "lang"]
             )
 
-    sample = chosen.mapInArrow(cut, "id long, w binary, lang string").limit(2 * per_class * windows_per_doc * len(sizes))
+    sample = chosen.mapInArrow(cut, "id long, w binary, lang string")
     rows = sorted((r["id"], bytes(r["w"]), r["lang"]) for r in sample.collect())
     classes = sorted({lang for _, _, lang in rows})
     if not classes:

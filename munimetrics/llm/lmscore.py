@@ -356,7 +356,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
     chunks = max(1, total_bytes(docs, text_col) // chunk_bytes)
     fold = crc_fold(F.col(id_col), folds)
     rows = docs.select(
-        F.pmod(F.xxhash64(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), F.lit(7)), F.lit(chunks)).alias("chunk"),
+        # By text as well: rows without an identifier, or with one in common, are in many chunks.
+        F.pmod(F.xxhash64(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), text_col, F.lit(7)), F.lit(chunks)).alias("chunk"),
         F.col(id_col).alias("id"), (fold != held).alias("train"), F.col(text_col).alias("text"),
     )
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))

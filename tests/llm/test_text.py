@@ -6,6 +6,7 @@ from collections import Counter
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from munimetrics.llm import bytecnn, contexttree, decontam, htmlwalk, lmscore, quality, queries, templates
 
@@ -256,3 +257,49 @@ def test_short_items_and_items_without_id_are_matched(spark):
     docs = [(1, "here are two words"), (2, "a SINGLE one"), (3, "x a b c d y"), (4, "five of a kind here a b c d"), (5, "two other words"), (6, "the other text")]
     got = decontam.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()
     assert {(r.id, r.item, r.score) for r in got} == {(1, 1, 1.0), (2, 2, 1.0), (3, None, 1.0), (4, None, 1.0), (6, 4, 1.0)} and len(got) == 5
+
+
+def test_language_sample_without_identifiers(spark, folder):
+    """All identifiers null, a third of the rows one text, all rows eight times: every language is still learnt."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("text", "lang")
+    most = docs.groupBy("lang").count().orderBy(F.desc("count")).first()["lang"]
+    hot = docs.filter(F.col("lang") == most).limit(1).withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(100)))).drop("n")
+    rows = docs.unionByName(hot).withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(8)))).drop("n")
+    rows = rows.withColumn("doc_id", F.lit(None).cast("long"))
+    net = bytecnn.fit(rows, per_class=40)
+    assert net.classes == sorted(r[0] for r in docs.select("lang").distinct().collect() if r[0])
+    found = bytecnn.identify(docs.filter("lang is not null"), net).filter("lang_pred <> 'und'")
+    assert found.filter("lang = lang_pred").count() >= 0.9 * found.count()
+
+
+def test_scores_without_identifiers_are_dealt_by_text(spark):
+    rows = [(None, f"some words number {n}") for n in range(300)] + [(5, f"other words {n}") for n in range(300)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = lmscore.score(frame, chunk_bytes=1000)
+    whole = lmscore.score(frame)
+    key = lambda r: (r.id is None, r.n_tokens, round(r.base_score, 9), round(r.score, 6))
+    assert sorted(map(key, got.collect())) == sorted(map(key, whole.collect()))
+
+
+def naive_pool(net, windows):
+    """The convolution written out: every filter at every place, then the largest value."""
+    out = []
+    for w in windows:
+        row = []
+        for filters, width in zip(net.filters, bytecnn.WIDTHS):
+            values = [net.embedding[w[at : at + width]].reshape(-1) @ filters for at in range(len(w) - width + 1)]
+            row += np.max(values, axis=0).tolist()
+        out.append(row)
+    return np.array(out)
+
+
+def test_network_against_plain_convolution():
+    rng = np.random.default_rng(1)
+    windows = rng.integers(97, 123, (12, bytecnn.WINDOW)).astype(np.uint8)
+    net = bytecnn.train(windows, np.arange(12) % 3, ["a", "b", "c"])
+    pool = naive_pool(net, windows)
+    assert np.allclose(net.pooled(windows)[0], pool, atol=1e-4)
+    hidden = np.maximum(pool + net.bias, 0) @ net.dense + net.offset
+    share = np.exp(hidden - hidden.max(1, keepdims=True))
+    assert np.allclose(net.probabilities(windows), share / share.sum(1, keepdims=True), atol=1e-4)
+

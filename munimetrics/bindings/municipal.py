@@ -165,15 +165,18 @@ def agg_beds(spark: SparkSession, folder: str) -> DataFrame:
     f"""WITH {roles.FACILITIES_SQL}, {roles.BEDS_SQL},
 types(unit_type, name) AS (VALUES {", ".join(f"({i}, {quoted(n)})" for i, n in enumerate([*config.FACILITY_TYPES, roles.OTHER_TYPE]))}),
 unit_beds AS (SELECT unit, sum(n) AS beds, sum(sus) AS sus FROM beds WHERE snapshot = '{roles.SNAPSHOT}' GROUP BY unit)
-SELECT lpad(CAST(f.unit AS VARCHAR), greatest(7, length(CAST(f.unit AS VARCHAR)))::INTEGER, '0') AS CO_UNIDADE, r_name AS CO_SIGLA_ESTADO, n_name AS NO_MUNICIPIO,
-       name AS DS_TIPO_UNIDADE, CAST(beds AS BIGINT) AS leitos_existentes, CAST(sus AS BIGINT) AS leitos_sus
-FROM facilities f LEFT JOIN nation ON n_nationkey = place LEFT JOIN region ON r_regionkey = n_regionkey
+SELECT lpad(CAST(f.unit AS VARCHAR), greatest(7, length(CAST(f.unit AS VARCHAR)))::INTEGER, '0') AS CO_UNIDADE, region.r_name AS CO_SIGLA_ESTADO, nation.n_name AS NO_MUNICIPIO,
+       {roles.PLACE.format('place')} AS CO_MUNICIPIO, k.r_name AS DS_TIPO_ESTABELECIMENTO, a.n_name AS DS_ATIVIDADE,
+       CASE WHEN a.n_nationkey % 3 > 0 THEN 'de ' || a.n_name END AS DS_CONCEITO_ATIVIDADE, name AS DS_TIPO_UNIDADE, CAST(beds AS BIGINT) AS leitos_existentes, CAST(sus AS BIGINT) AS leitos_sus
+FROM facilities f LEFT JOIN nation ON nation.n_nationkey = place LEFT JOIN region ON region.r_regionkey = nation.n_regionkey
+LEFT JOIN region k ON k.r_regionkey = f.unit % 7 LEFT JOIN nation a ON a.n_nationkey = f.unit % 30
 LEFT JOIN types ON types.unit_type = f.unit_type LEFT JOIN unit_beds b ON b.unit = f.unit WHERE active""",
 )
 def star_left_join(spark: SparkSession, folder: str) -> DataFrame:
     details = municipal.facility_details(roles.registry(spark, folder), roles.SNAPSHOT)
     return details.select(
-        "CO_UNIDADE", "CO_SIGLA_ESTADO", "NO_MUNICIPIO", "DS_TIPO_UNIDADE", "leitos_existentes", "leitos_sus"
+        "CO_UNIDADE", "CO_SIGLA_ESTADO", "CO_MUNICIPIO", "NO_MUNICIPIO", "DS_TIPO_UNIDADE", "DS_TIPO_ESTABELECIMENTO", "DS_ATIVIDADE",
+        "DS_CONCEITO_ATIVIDADE", "leitos_existentes", "leitos_sus",
     )
 
 
@@ -191,10 +194,11 @@ def wide_left_joins(spark: SparkSession, folder: str) -> DataFrame:
 
 @bound(
     "inner_chain",
-    """SELECT lpad(CAST(l_suppkey AS VARCHAR), greatest(7, length(CAST(l_suppkey AS VARCHAR)))::INTEGER, '0') AS CO_UNIDADE, l_orderkey AS CO_PROFISSIONAL_SUS, s_name AS nome_fantasia,
-       upper(p_name) AS atividade_profissional, n_name AS municipio
+    f"""SELECT lpad(CAST(l_suppkey AS VARCHAR), greatest(7, length(CAST(l_suppkey AS VARCHAR)))::INTEGER, '0') AS codigo_unidade, l_orderkey AS codigo_profissional, s_name AS nome_fantasia,
+       upper(p_name) AS atividade_profissional, n_name AS municipio, {roles.PLACE.format('n_nationkey')} AS codigo_municipio, r_name AS uf,
+       p_brand AS classificacao_profissional, CASE WHEN p_size % 2 = 0 THEN 'S' END AS cbo_saude, CASE WHEN l_linestatus = 'O' THEN 'S' ELSE 'N' END AS sus
 FROM lineitem JOIN supplier ON s_suppkey = l_suppkey AND s_suppkey % 17 <> 0
-JOIN part ON p_partkey = l_partkey JOIN nation ON n_nationkey = s_nationkey""",
+JOIN part ON p_partkey = l_partkey JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey""",
 )
 def inner_chain(spark: SparkSession, folder: str) -> DataFrame:
     source = roles.registry(spark, folder)
@@ -203,11 +207,22 @@ def inner_chain(spark: SparkSession, folder: str) -> DataFrame:
         source.workers,
         [
             (source.facilities, "CO_UNIDADE", "CO_UNIDADE", facility_columns),
-            (source.occupations, "CO_CBO", "CO_CBO", [F.col("DS_ATIVIDADE_PROFISSIONAL").alias("atividade_profissional")]),
-            (source.municipalities, "CO_MUNICIPIO_GESTOR", "CO_MUNICIPIO", [F.col("NO_MUNICIPIO").alias("municipio")]),
+            (
+                source.occupations, "CO_CBO", "CO_CBO",
+                [F.col("DS_ATIVIDADE_PROFISSIONAL").alias("atividade_profissional"),
+                 F.col("TP_CLASSIFICACAO_PROFISSIONAL").alias("classificacao_profissional"), F.col("TP_CBO_SAUDE").alias("cbo_saude")],
+            ),
+            (
+                source.municipalities, "CO_MUNICIPIO_GESTOR", "CO_MUNICIPIO",
+                [F.col("CO_MUNICIPIO").alias("codigo_municipio"), F.col("NO_MUNICIPIO").alias("municipio"), F.col("CO_SIGLA_ESTADO").alias("uf")],
+            ),
         ],
     )
-    return chained.select("CO_UNIDADE", "CO_PROFISSIONAL_SUS", "nome_fantasia", "atividade_profissional", "municipio")
+    return chained.select(
+        F.col("CO_UNIDADE").alias("codigo_unidade"), "nome_fantasia", "codigo_municipio", "municipio", "uf",
+        F.col("CO_PROFISSIONAL_SUS").alias("codigo_profissional"), "atividade_profissional", "classificacao_profissional", "cbo_saude",
+        F.col("TP_SUS_NAO_SUS").alias("sus"),
+    )
 
 
 @bound(

@@ -43,6 +43,8 @@ def facilities(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("s_acctbal") > 0, F.lit("")).when(key % 2 == 0, F.lit("01")).alias("CO_MOTIVO_DESAB"),
         padded(key % 41, 2).alias("TP_UNIDADE"),
         F.col("s_name").alias("NO_FANTASIA"),
+        (key % 7).cast("string").alias("CO_TIPO_ESTABELECIMENTO"),
+        padded(key % 30, 3).alias("CO_ATIVIDADE_PRINCIPAL"),
     )
 
 
@@ -79,6 +81,19 @@ def unit_types(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "CO_TIPO_UNIDADE string, DS_TIPO_UNIDADE string")
 
 
+def facility_types(spark: SparkSession, folder: str) -> DataFrame:
+    """Regions; two of the seven codes that facilities bear stand for none."""
+    region = table(spark, folder, "region")
+    return region.select(F.col("r_regionkey").cast("string").alias("CO_TIPO_ESTABELECIMENTO"), F.col("r_name").alias("DS_TIPO_ESTABELECIMENTO"))
+
+
+def activities(spark: SparkSession, folder: str) -> DataFrame:
+    """Nations; five of the thirty codes stand for none, and every third has no concept."""
+    key = F.col("n_nationkey")
+    concept = F.when(key % 3 > 0, F.concat(F.lit("de "), F.col("n_name"))).alias("DS_CONCEITO_ATIVIDADE")
+    return table(spark, folder, "nation").select(padded(key, 3).alias("CO_ATIVIDADE"), F.col("n_name").alias("DS_ATIVIDADE"), concept)
+
+
 def population(spark: SparkSession, folder: str) -> DataFrame:
     """Customers per nation, with the share of each segment in percent. One row per nation."""
     customers = table(spark, folder, "customer").groupBy("c_nationkey").agg(
@@ -156,10 +171,16 @@ def registry(spark: SparkSession, folder: str, write_people: bool = False) -> Re
             padded(F.col("l_suppkey"), 7).alias("CO_UNIDADE"),
             F.col("l_orderkey").alias("CO_PROFISSIONAL_SUS"),
             F.col("l_partkey").alias("CO_CBO"),
+            F.when(F.col("l_linestatus") == "O", F.lit("S")).otherwise(F.lit("N")).alias("TP_SUS_NAO_SUS"),
+        ),
+        occupations=part.select(
+            F.col("p_partkey").alias("CO_CBO"), F.upper("p_name").alias("DS_ATIVIDADE_PROFISSIONAL"),
+            F.col("p_brand").alias("TP_CLASSIFICACAO_PROFISSIONAL"), F.when(F.col("p_size") % 2 == 0, F.lit("S")).alias("TP_CBO_SAUDE"),
         ),
-        occupations=part.select(F.col("p_partkey").alias("CO_CBO"), F.upper("p_name").alias("DS_ATIVIDADE_PROFISSIONAL")),
         cities=cities(people),
         census=census(people),
+        facility_types=facility_types(spark, folder),
+        activities=activities(spark, folder),
     )
 
 

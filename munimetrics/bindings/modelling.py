@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from munimetrics.bindings import standins as roles
 from munimetrics.bindings.registry import bound, table
 from munimetrics.bindings.standins import FEATURES, FEATURES_SQL
-from munimetrics.operators import assignment, clustering, features, hierarchy, stats
+from munimetrics.operators import assignment, clustering, features, hierarchy, layout, stats
+from munimetrics.operators import silhouette as silhouettes
 from munimetrics.operators.ordering import positions
 from munimetrics.session import cut_lineage
 
@@ -246,6 +247,26 @@ def silhouette(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@bound(
+    "silhouette_euclidean",
+    """WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+mean AS (SELECT a.vec_id, a.label AS own, b.label, sum(list_distance(a.v, b.v)) AS s, count(*) AS n FROM e a, e b GROUP BY ALL),
+sides AS (SELECT vec_id, max(n) FILTER (WHERE label = own) AS n, max(s / nullif(n - 1, 0)) FILTER (WHERE label = own) AS a,
+  min(s / n) FILTER (WHERE label <> own) AS b FROM mean GROUP BY vec_id)
+SELECT round(avg(CASE WHEN n = 1 OR greatest(a, b) = 0 THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette FROM sides""",
+)
+def silhouette_euclidean(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings").select("label", F.col("embedding").cast("array<double>").alias("row"))
+    found = silhouettes.euclidean_silhouette(rows)
+    return spark.range(1).select(F.round(F.lit(found["mean"]), 6).alias("silhouette"))
+
+
+@bound("neighbour_layout")
+def neighbour_layout(spark: SparkSession, folder: str) -> DataFrame:
+    scaled = features.standardize(roles.part_features(spark, folder).drop("p_type"), FEATURES)
+    return layout.neighbour_layout(scaled, "p_partkey", FEATURES).select("p_partkey", "umap_x", "umap_y")
+
+
 @bound(
     "align_labels",
     """WITH RECURSIVE labelled AS (SELECT c_custkey, c_nationkey % 5 AS cluster, ascii(c_mktsegment) % 7 AS label FROM customer),

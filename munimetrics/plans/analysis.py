@@ -16,6 +16,8 @@ from munimetrics.functions.text import lower_columns
 from munimetrics.operators import clustering, features as prep, stats
 from munimetrics.operators.assignment import best_label_pairs
 from munimetrics.operators.hierarchy import hierarchy_clusters
+from munimetrics.operators.layout import neighbour_layout
+from munimetrics.operators.silhouette import euclidean_silhouette, feature_rows
 from munimetrics.operators.aggregates import crosstab
 from munimetrics.operators.joins import check_unique, join_admissions
 from munimetrics.session import cut_lineage
@@ -35,6 +37,8 @@ class Settings:
     corr_threshold: float = 0.90
     #: Clusters of all densities by stability; without it those of one density level.
     hierarchy: bool = True
+    #: Positions by a neighbour layout; without it by principal components.
+    layout: bool = False
 
 
 def prepare(municipal: DataFrame, admissions: DataFrame) -> DataFrame:
@@ -62,7 +66,7 @@ def analyse(
     features = present(base, config.HEALTH_FEATURES)
     scaled = cut_lineage(prep.standardize(base.select(key, *[F.col(f"`{c}`") for c in features]), features))
 
-    projected = cut_lineage(prep.project(scaled, features))
+    projected = cut_lineage(neighbour_layout(scaled, key, features, seed=settings.seed) if settings.layout else prep.project(scaled, features))
     cluster = hierarchy_clusters if settings.hierarchy else clustering.density_clusters
     first = cut_lineage(cluster(projected, key, "umap_x", "umap_y", settings.min_samples, settings.min_cluster_size))
     labelled = clustering.recluster_noise(
@@ -90,7 +94,8 @@ def analyse(
     for name, alternative in alternatives.items():
         alternative = cut_lineage(alternative)
         paired = cut_lineage(labels.select(key, "cluster").join(alternative, key))
-        scores[name] = clustering.silhouette(scaled.join(alternative, key), selected, "label")
+        score = euclidean_silhouette(feature_rows(scaled.join(alternative, key), selected, "label"))
+        scores[name] = score and score["mean"]
         pairs = cut_lineage(best_label_pairs(paired, "cluster", "label"))
         mappings[name] = {row["label"]: row["cluster"] for row in pairs.orderBy("label").collect()}
         aligned = clustering.align_labels(paired, "cluster", "label", pairs=pairs)

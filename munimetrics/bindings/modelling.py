@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from munimetrics.bindings import standins as roles
 from munimetrics.bindings.registry import bound, table
 from munimetrics.bindings.standins import FEATURES, FEATURES_SQL
-from munimetrics.operators import assignment, clustering, features, hierarchy, layout, stats
+from munimetrics.operators import assignment, clustering, features, hierarchy, layout, sketches, stats
 from munimetrics.operators import silhouette as silhouettes
 from munimetrics.operators.ordering import positions
 from munimetrics.session import cut_lineage
@@ -261,6 +261,21 @@ def silhouette_euclidean(spark: SparkSession, folder: str) -> DataFrame:
     return spark.range(1).select(F.round(F.lit(found["mean"]), 6).alias("silhouette"))
 
 
+@bound(
+    "quartiles_by_month",
+    """SELECT event_type, round(quantile_cont(value, 0.25), 9) AS q1, round(quantile_cont(value, 0.5), 9) AS median,
+  round(quantile_cont(value, 0.75), 9) AS q3 FROM events WHERE value IS NOT NULL GROUP BY event_type""",
+)
+def quartiles_by_month(spark: SparkSession, folder: str) -> DataFrame:
+    """Quartiles over all months, cut out by sketches that were kept per month."""
+    events = table(spark, folder, "events").withColumn("month", F.date_format("ts", "yyyy-MM"))
+    monthly = cut_lineage(sketches.value_sketches(events, ["event_type", "month"], "value"))
+    merged = sketches.merge_sketches(monthly, ["event_type"])
+    probs = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+    found = sketches.sketched_quantiles(events, ["event_type"], "value", probs, merged)
+    return found.select("event_type", *[F.round(c, 9).alias(c) for c in probs])
+
+
 @bound("neighbour_layout")
 def neighbour_layout(spark: SparkSession, folder: str) -> DataFrame:
     scaled = features.standardize(roles.part_features(spark, folder).drop("p_type"), FEATURES)

@@ -1,9 +1,13 @@
-"""Benchmark decontamination: n-gram seeds find passages, Smith-Waterman alignment scores them.
+"""Benchmark decontamination: seeds of three words find passages, Smith-Waterman alignment scores them.
 
-Word n-grams of the test items are held in a fixed-size Bloom filter; a scan of the documents keeps only the places
-whose n-gram may be an item's. Every n-gram of an item seeds the join of documents and items. Seeds name diagonals;
-around them item and document are aligned word by word, so substituted, inserted and deleted words cost a little and
-do not hide a copy. Passages with too few of the item's words to reach the threshold are not aligned.
+A copy that scores at least half of its item holds three words of it, one matched after the other, between which at most
+two edits lie: with ``m`` matches it has at most ``2 m - n`` edits, and three at least in every two neighbouring gaps
+would be more. So seeds are three words in order with up to two words left out between them, on both sides, and none
+of these copies is without one (items of up to six words: two words with up to one left out).
+
+Seeds of the items are held in a fixed-size Bloom filter; a scan of the documents keeps only the places whose seed may
+be an item's. All seeds join documents and items and name diagonals; around them item and document are aligned word by
+word. Passages with too few of the item's words to reach the threshold are not aligned.
 """
 
 from __future__ import annotations
@@ -18,7 +22,11 @@ from pyspark.sql import functions as F
 
 from munimetrics.llm.common import byte_texts, cut_lineage, rows_of
 
-SEED_WORDS = 3
+#: Steps from the first to the second and on to the third word of a seed.
+TRIPLES = ((1, 1), (1, 2), (2, 1), (2, 2), (1, 3), (3, 1))
+PAIRS = ((1,), (2,))
+#: Items of up to so many words are found by pairs, of up to two by all their words.
+SHORT = 6
 THRESHOLD = 0.5
 BLOOM_BITS = 23
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -62,33 +70,61 @@ class GramHasher:
         return _mixed((sums[last] - sums[first]) * self.inverses[first])
 
 
+#: Both words of an item of two, which have to stand side by side: told from the pairs of longer items by a mark.
+WHOLE = (1, 0)
+
+
+def seed_hashes(words: np.ndarray, steps: tuple[int, ...]) -> np.ndarray:
+    """Hashes of the seeds that start at each word, of word hashes and one kind of steps."""
+    size = len(words) - sum(steps)
+    if size <= 0:
+        return np.zeros(0, np.uint64)
+    out, at = words[:size].copy(), 0
+    if steps == WHOLE:
+        steps = (1,)
+        out ^= _BASE
+    for step in steps:
+        at += step
+        out = _mixed(out * _BASE + words[at : at + size])
+    return out
+
+
+def _kinds(size: int) -> tuple[tuple[int, ...], ...]:
+    """The seeds of an item of ``size`` words."""
+    return TRIPLES if size > SHORT else PAIRS if size > 2 else (WHOLE,) if size == 2 else ((),)
+
+
 def _slots(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     mask = np.uint64((1 << bits) - 1)
     return hashes & mask, (hashes >> np.uint64(32)) & mask
 
 
-def item_grams(items: DataFrame, item_col: str, text_col: str, words: int = SEED_WORDS) -> DataFrame:
-    """``(item, gram, at, size, words)``: every n-gram of every item, the word it starts at and the item's words.
+def item_grams(items: DataFrame, item_col: str, text_col: str) -> DataFrame:
+    """``(item, gram, at, size, words)``: every seed of every item, the word it starts at, the item's and the seed's words.
 
-    An item of fewer words has one n-gram, all of it; the last column tells the n-gram's words.
+    The last number is 0 for the whole of an item of two words.
     """
     kind = items.schema[item_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashers = {n: GramHasher(n) for n in range(1, words + 1)}
+        hasher = GramHasher(1)
         for part in rows_of(batches, 512):
-            texts = byte_texts(part.column(1))
-            sizes = [len(t.split()) for t in texts]
-            found = [hashers[min(words, max(1, n))](t) for n, t in zip(sizes, texts)]
-            counts = np.array([len(f) for f in found], np.int64)
-            rows = np.repeat(np.arange(len(found)), counts)
-            at = np.concatenate([np.arange(c) for c in counts]) if len(found) else np.zeros(0)
-            sizes = np.array(sizes, np.int64)[rows]
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0).take(pa.array(rows)), pa.array(np.concatenate(found).view(np.int64)),
-                 pa.array(at.astype(np.int64)), pa.array(sizes), pa.array(np.minimum(sizes, words))],
-                ["item", "gram", "at", "size", "words"],
-            )
+            rows, grams, at, sizes, words = [], [], [], [], []
+            for row, text in enumerate(byte_texts(part.column(1))):
+                own = hasher(text)
+                for steps in _kinds(len(own)):
+                    found = seed_hashes(own, steps)
+                    rows.append(np.full(len(found), row))
+                    grams.append(found)
+                    at.append(np.arange(len(found)))
+                    sizes.append(np.full(len(found), len(own)))
+                    words.append(np.full(len(found), 0 if steps == WHOLE else len(steps) + 1))
+            if rows:
+                columns = [np.concatenate(c).astype(np.int64) for c in (at, sizes, words)]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(pa.array(np.concatenate(rows))), pa.array(np.concatenate(grams).view(np.int64)), *map(pa.array, columns)],
+                    ["item", "gram", "at", "size", "words"],
+                )
 
     return items.select(F.col(item_col), F.col(text_col)).mapInArrow(run, f"item {kind}, gram long, at long, size long, words long")
 
@@ -116,22 +152,24 @@ def _reach(size: int, threshold: float) -> int:
 
 
 def places(docs: DataFrame, id_col: str, text_col: str, field: bytes, words: list[int], bits: int, reach: int) -> DataFrame:
-    """``(id, first, print, passage, grams, at)``: stretches of documents around n-grams that the filter does not rule out.
+    """``(id, first, print, passage, grams, at)``: stretches of documents around seeds that the filter does not rule out.
 
-    The n-grams are of each of the lengths ``words``.
+    The seeds are of each of the numbers of ``words``.
     A stretch reaches ``reach`` words to either side of each; overlapping ones are merged. ``first`` is its first word
-    in the document and ``print`` its hash, ``at`` says where in it the n-grams start.
+    in the document and ``print`` its hash, ``at`` says where in it the seeds start.
     """
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashers, have = [GramHasher(n) for n in words], np.unpackbits(np.frombuffer(field, np.uint8), bitorder="little").astype(bool)
+        hasher, have = GramHasher(1), np.unpackbits(np.frombuffer(field, np.uint8), bitorder="little").astype(bool)
+        kinds_of = [steps for n in words for steps in {0: (WHOLE,), 1: ((),), 2: PAIRS, 3: TRIPLES}[n]]
         for part in rows_of(batches, 512):
             ids, firsts, passages, grams, at = [], [], [], [], []
             for i, text in enumerate(byte_texts(part.column(1))):
                 hits, kinds = [], []
-                for hasher in hashers:
-                    hashes = hasher(text)
+                own_words = hasher(text)
+                for steps in kinds_of:
+                    hashes = seed_hashes(own_words, steps)
                     one, two = _slots(hashes, bits)
                     hit = np.flatnonzero(have[one])
                     hit = hit[have[two[hit]]]
@@ -215,25 +253,25 @@ def best_alignment(item: list[bytes], document: list[bytes], diagonals: list[int
 
 def contaminated(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-    item_text_col: str = "text", threshold: float = THRESHOLD, seed_words: int = SEED_WORDS,
-    bloom_bits: int = BLOOM_BITS,
+    item_text_col: str = "text", threshold: float = THRESHOLD, bloom_bits: int = BLOOM_BITS,
 ) -> DataFrame:
     """``(id, item, score, first_word, last_word)`` per document and item aligned with at least ``threshold``.
 
     Words are compared without regard to ASCII case. The score is the Smith-Waterman score (match 2, mismatch and
-    gap -1) over that of the item itself. Every n-gram of an item is a seed, however many documents hold it; an item
-    shorter than an n-gram has its whole word sequence as seed. Null or empty texts match nothing; documents without
+    gap -1) over that of the item itself. Every seed of an item counts, however many documents hold it, so that with a
+    threshold of 0.5 or more no copy of an item of three or more words is lost; shorter items match where all their words
+    stand. Null or empty texts match nothing; documents without
     an identifier cannot be named and match nothing, items without one match under a null item. Of several texts or
     passages for a document and an item the best aligned one is given. Empty tables give empty results.
     """
     items = items.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("item_text")).filter("item_text IS NOT NULL")
     items = items.withColumn("item", F.xxhash64("item_id", "item_text")).dropDuplicates(["item"])
-    grams = cut_lineage(item_grams(items, "item", "item_text", seed_words))
+    grams = cut_lineage(item_grams(items, "item", "item_text"))
     field = bloom(grams, bloom_bits)
     told = grams.agg(F.max("size").alias("longest"), F.collect_set("words").alias("words")).first()
     longest = told["longest"] or 0
     reach = longest + _reach(longest, threshold)
-    found = cut_lineage(places(docs, id_col, text_col, field, sorted(told["words"]) or [seed_words], bloom_bits, reach))
+    found = cut_lineage(places(docs, id_col, text_col, field, sorted(told["words"]) or [3], bloom_bits, reach))
     hits = found.select("id", "first", "print", F.explode(F.arrays_zip("grams", F.col("at").alias("places"))).alias("hit"))
     pairs = (
         hits.select("id", "first", "print", F.col("hit.grams").alias("gram"), F.col("hit.places").alias("doc_at")).join(grams, "gram")

@@ -88,6 +88,40 @@ def test_edited_copies_are_found_among_verbatim_ones(spark):
     assert got == dict.fromkeys(range(5), (1.0, 30, 70)) | {5: (51 / 80, 30, 69), 6: (43 / 80, 30, 107)}
 
 
+def test_no_copy_of_half_the_score_is_lost(spark):
+    """All pairs of documents and items aligned in full, copies edited at every second, third and fourth word among them."""
+    rng = np.random.default_rng(8)
+    words = np.array([f"w{i}" for i in range(300)])
+    items = {i: rng.choice(words, n).tolist() for i, n in enumerate([30, 30, 15, 7, 6, 5, 4, 3, 41])}
+    docs = []
+    for own in items.values():
+        for every in (2, 3, 4):
+            replaced = [w if (k + 1) % every else "new" for k, w in enumerate(own)]
+            inserted = [x for k, w in enumerate(own) for x in ([w] if (k + 1) % every else [w, "put"])]
+            dropped = [w for k, w in enumerate(own) if (k + 1) % every]
+            docs += [replaced, inserted, dropped]
+        docs.append([x for w in own for x in (w, "in")])
+        for _ in range(6):
+            copy = [str(w) for w in own]
+            for _ in range(rng.integers(1, len(own))):
+                at = rng.integers(0, len(copy))
+                copy[at : at + rng.integers(0, 2)] = ["edit"] * rng.integers(0, 2)
+                copy = copy or ["edit"]
+            docs.append(copy)
+    docs = [rng.choice(words, rng.integers(0, 25)).tolist() + d + rng.choice(words, rng.integers(0, 25)).tolist() for d in docs]
+    code = {w: n for n, w in enumerate({*words.tolist(), "new", "put", "in", "edit"})}
+    want = {}
+    for d, text in enumerate(docs):
+        for i, own in items.items():
+            score = plain_alignment([code[w] for w in own], [code[w] for w in text]) / (2 * len(own))
+            if score >= 0.5:
+                want[d, i] = score
+    frame = spark.createDataFrame([(d, " ".join(t)) for d, t in enumerate(docs)], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in items.items()], "item_id long, text string")
+    got = {(r.id, r.item): r.score for r in decontam.contaminated(frame, bench).collect()}
+    assert got == pytest.approx(want) and len(want) > 80
+
+
 def test_op2_finds_the_planted_passages(spark, folder):
     docs, bench = (pd.read_parquet(f"{folder}/{t}.parquet") for t in ("documents", "benchmark"))
     plain = lambda t: " ".join((t or "").lower().split())

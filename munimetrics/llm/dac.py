@@ -33,6 +33,8 @@ _HEAD = struct.Struct("<4sIQQ")
 _RUN = 512
 SEGMENT_TOKENS = 1 << 20
 FILE_BYTES = 32 << 20
+#: Text bytes that are encoded at once, beside the sorted texts that the task holds.
+BATCH_BYTES = 4 << 20
 
 
 def encode_segment(identifiers: list[int | None], ends: np.ndarray, ids: np.ndarray) -> bytes:
@@ -150,7 +152,7 @@ def write_tokens(
             body = encode_segment(names, ends, np.frombuffer(b"".join(parts), "<u4"))
             return pa.RecordBatch.from_arrays([pa.array([body], pa.binary())], ["segment"])
 
-        for part in text_batches(batches, 1):
+        for part in text_batches(batches, 1, BATCH_BYTES):
             ids, starts, ends = known.encode(part.column(1))
             for name, s, e in zip(part.column(0).to_pylist(), starts.tolist(), ends.tolist()):
                 names.append(name)

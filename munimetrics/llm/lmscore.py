@@ -25,7 +25,7 @@ from munimetrics.llm import contexttree as tree
 from munimetrics.llm.common import byte_texts, crc_fold, cut_lineage, rows_of, total_bytes
 
 DEPTH = 5
-CHUNK_BYTES = 24 << 20
+CHUNK_BYTES = 18 << 20
 BUCKETS = 64
 CHUNKS_PER_TASK = 64
 _PART_BYTES = 1 << 20

@@ -31,6 +31,7 @@ THRESHOLD = 0.5
 BLOOM_BITS = 23
 MATCH, MISMATCH, GAP = 2, -1, -1
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+_SQUARE = np.uint64(0x9E3779B97F4A7C15**2 % 2**64)
 
 
 def _inverse(odd: int) -> int:
@@ -74,19 +75,24 @@ class GramHasher:
 WHOLE = (1, 0)
 
 
-def seed_hashes(words: np.ndarray, steps: tuple[int, ...]) -> np.ndarray:
-    """Hashes of the seeds that start at each word, of word hashes and one kind of steps."""
-    size = len(words) - sum(steps)
-    if size <= 0:
-        return np.zeros(0, np.uint64)
-    out, at = words[:size].copy(), 0
-    if steps == WHOLE:
-        steps = (1,)
-        out ^= _BASE
-    for step in steps:
-        at += step
-        out = _mixed(out * _BASE + words[at : at + size])
-    return out
+class Seeds:
+    """Hashes of a text's seeds, of its words' hashes."""
+
+    def __init__(self, words: np.ndarray):
+        self.words = words
+        self.scaled = [words, words * _BASE, words * _SQUARE]
+
+    def hashes(self, steps: tuple[int, ...]) -> np.ndarray:
+        """Of the seeds of one kind of steps, by the word they start at."""
+        mark, steps = (_BASE, (1,)) if steps == WHOLE else (np.uint64(0), steps)
+        size = len(self.words) - sum(steps)
+        if size <= 0:
+            return np.zeros(0, np.uint64)
+        out, at = self.scaled[len(steps)][:size] ^ mark, 0
+        for left, step in zip(range(len(steps) - 1, -1, -1), steps):
+            at += step
+            out += self.scaled[left][at : at + size]
+        return _mixed(out)
 
 
 def _kinds(size: int) -> tuple[tuple[int, ...], ...]:
@@ -111,13 +117,14 @@ def item_grams(items: DataFrame, item_col: str, text_col: str) -> DataFrame:
         for part in rows_of(batches, 512):
             rows, grams, at, sizes, words = [], [], [], [], []
             for row, text in enumerate(byte_texts(part.column(1))):
-                own = hasher(text)
-                for steps in _kinds(len(own)):
-                    found = seed_hashes(own, steps)
+                own = Seeds(hasher(text))
+                count = len(own.words)
+                for steps in _kinds(count):
+                    found = own.hashes(steps)
                     rows.append(np.full(len(found), row))
                     grams.append(found)
                     at.append(np.arange(len(found)))
-                    sizes.append(np.full(len(found), len(own)))
+                    sizes.append(np.full(len(found), count))
                     words.append(np.full(len(found), 0 if steps == WHOLE else len(steps) + 1))
             if rows:
                 columns = [np.concatenate(c).astype(np.int64) for c in (at, sizes, words)]
@@ -167,9 +174,9 @@ def places(docs: DataFrame, id_col: str, text_col: str, field: bytes, words: lis
             ids, firsts, passages, grams, at = [], [], [], [], []
             for i, text in enumerate(byte_texts(part.column(1))):
                 hits, kinds = [], []
-                own_words = hasher(text)
+                seeds = Seeds(hasher(text))
                 for steps in kinds_of:
-                    hashes = seed_hashes(own_words, steps)
+                    hashes = seeds.hashes(steps)
                     one, two = _slots(hashes, bits)
                     hit = np.flatnonzero(have[one])
                     hit = hit[have[two[hit]]]
@@ -275,9 +282,14 @@ def contaminated(
     hits = found.select("id", "first", "print", F.explode(F.arrays_zip("grams", F.col("at").alias("places"))).alias("hit"))
     pairs = (
         hits.select("id", "first", "print", F.col("hit.grams").alias("gram"), F.col("hit.places").alias("doc_at")).join(grams, "gram")
-        .select("id", "first", "print", "item", (F.col("doc_at") - F.col("at")).alias("diagonal"))
-        .groupBy("id", "first", "print", "item").agg(F.collect_set("diagonal").alias("diagonals"))
+        .select("id", "first", "print", "item", "at", "size", "words", (F.col("doc_at") - F.col("at")).alias("diagonal"))
+        .groupBy("id", "first", "print", "item")
+        .agg(F.collect_set("diagonal").alias("diagonals"), F.size(F.collect_set("at")).alias("starts"), F.max("size").alias("size"), F.max("words").alias("words"))
     )
+    # Of the m - 2 pairs of neighbouring gaps of a copy, all but those with a seed hold three edits or more, and all gaps
+    # together hold at most 2 m - 2 n t: seeds start at this many words of the item, or there is no such copy.
+    least = F.when(F.col("words") == 3, F.ceil((F.col("size") * (4 * threshold - 1) - 6) / 3 - 1e-9)).otherwise(1)
+    pairs = pairs.where(F.col("starts") >= least).drop("starts", "size", "words")
     pairs = cut_lineage(pairs)
     passages = found.select("id", "first", "print", "passage")
     wanted = pairs.join(items, "item").join(passages.hint("merge"), ["id", "first", "print"])

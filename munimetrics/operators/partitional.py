@@ -28,6 +28,8 @@ SEED_PASSES = 3
 OVERSAMPLING = 2
 #: Cluster features that the chain joins at most.
 FEATURES = 2000
+#: Rows that a pass reads as one packed block, and those of it that are worked on at a time.
+PACKED = 1 << 16
 #: Finest grid on which rows are added up: 2^-30 of a feature's span.
 _GRIDS = 30
 _BLOCK = 4096
@@ -62,18 +64,47 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
+def _packed(rows: DataFrame) -> DataFrame:
+    """``(hashes, rows)``: blocks of at most ``PACKED`` rows as bytes, written once and dealt evenly over the tasks.
+
+    The passes read them many times; as arrays of doubles they would be turned over value by value in each.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def block() -> pa.RecordBatch:
+            hashes, own = (np.concatenate(c) for c in zip(*held))
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array([c.tobytes()], pa.binary()) for c in (hashes, own)], ["hashes", "rows"])
+
+        for batch in batches:
+            for start in range(0, batch.num_rows, PACKED):
+                part = batch.slice(start, PACKED)
+                if sum(len(h) for h, _ in held) + part.num_rows > PACKED:
+                    yield block()
+                held.append((part.column(0).to_numpy(), _matrix(part.column(1))))
+        if held:
+            yield block()
+
+    dealt = rows.select("_hash", "_row").repartition(2 * rows.sparkSession.sparkContext.defaultParallelism)
+    return cut_lineage(dealt.mapInArrow(run, "hashes binary, rows binary"))
+
+
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     for batch in batches:
-        for start in range(0, batch.num_rows, _BLOCK):
-            part = batch.slice(start, _BLOCK)
-            yield part.column(0).to_numpy(), _matrix(part.column(1))
+        for packed_hashes, packed_rows in zip(batch.column(0), batch.column(1)):
+            hashes = np.frombuffer(packed_hashes.as_buffer(), np.int64)
+            rows = np.frombuffer(packed_rows.as_buffer(), np.float64).reshape(len(hashes), -1)
+            for start in range(0, len(hashes), _BLOCK):
+                yield hashes[start : start + _BLOCK], rows[start : start + _BLOCK]
 
 
 class _Passes:
     """Passes over ``(_hash, _row)``; all counts and sums of a pass travel as one array a task."""
 
     def __init__(self, rows: DataFrame):
-        self.rows, self.scans = rows.select("_hash", "_row"), 0
+        self.rows, self.scans = _packed(rows), 0
 
     def added(self, size: int, work: Callable[[np.ndarray, np.ndarray, np.ndarray], None]) -> np.ndarray:
         """The sum over all blocks of what ``work`` adds into an array of ``size``."""
@@ -84,13 +115,13 @@ class _Passes:
                 work(total, hashes, block)
                 seen = True
             if seen:
-                at = np.flatnonzero(total)
-                yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at])], ["at", "value"])
+                yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["total"])
 
         self.scans += 1
-        found = self.rows.mapInArrow(run, "at int, value double").groupBy("at").agg(F.sum("value").alias("value")).toPandas()
         out = np.zeros(size)
-        out[found["at"].to_numpy(int)] = found["value"].to_numpy(float)
+        # One array from each of the tasks that the blocks are dealt over.
+        for found in self.rows.mapInArrow(run, "total binary").collect():
+            out += np.frombuffer(found["total"])
         return out
 
     def drawn(self, starts: int, count: int, clock: Callable[[np.ndarray, np.ndarray, int], np.ndarray]) -> list[list[np.ndarray]]:
@@ -180,22 +211,29 @@ def fit_kmeans(
 
     def sums(active: list[int]) -> dict[int, np.ndarray]:
         """Per start the rows' number, sum and cost by centre."""
-        own = [centres[s] for s in active]
-        places = np.cumsum([0, *(len(c) * (width + 2) for c in own)])
+        most = max(len(centres[s]) for s in active)
+        # A start with fewer centres repeats its first one, which never is nearer than itself.
+        own = np.array([[centres[s][n if n < len(centres[s]) else 0] for s in active] for n in range(most)])
+        weight = (own**2).sum(2)
+        size = most * len(active) * (width + 2)
 
         def add(total: np.ndarray, hashes: np.ndarray, block: np.ndarray) -> None:
-            for place, c in zip(places, own):
-                gaps = _gaps(block, c)
-                near = gaps.argmin(1)
-                view = total[place : place + len(c) * (width + 2)].reshape(len(c), width + 2)
-                member = np.zeros((len(block), len(c)))
-                member[np.arange(len(block)), near] = 1
-                view[:, 0] += member.sum(0)
-                view[:, 1:-1] += member.T @ block
-                view[:, -1] += member.T @ gaps[np.arange(len(block)), near]
-
-        total = passes.added(int(places[-1]), add)
-        return {s: total[a:b].reshape(-1, width + 2) for s, a, b in zip(active, places, places[1:])}
+            # All starts at once: one row of the arrays is a start, one column a row of the block.
+            gaps = (-2 * own.reshape(-1, width) @ block.T).reshape(most, len(active), len(block)) + weight[:, :, None]
+            least = gaps.min(0)
+            cost = np.maximum(least + (block**2).sum(1), 0.0)
+            known = np.column_stack([np.ones(len(block)), block])
+            free = np.ones(least.shape, bool)
+            view = total.reshape(most, len(active), width + 2)
+            for n in range(most):
+                member = free & (gaps[n] == least)
+                free &= ~member
+                member = member.astype(np.float64)
+                view[n, :, :-1] += member @ known
+                view[n, :, -1] += np.einsum("sb,sb->s", member, cost)
+
+        total = passes.added(size, add).reshape(most, len(active), width + 2)
+        return {s: total[: len(centres[s]), n] for n, s in enumerate(active)}
 
     for _ in range(iterations):
         active = [s for s in range(restarts) if not rested[s]]

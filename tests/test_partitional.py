@@ -91,6 +91,14 @@ def test_kmeans_tells_a_reached_limit(spark):
         assert all(partitional.fit_kmeans(rows, 5, 3).rested)
 
 
+def test_kmeans_passes_read_packed_blocks(spark):
+    points = np.random.default_rng(4).normal(0, 1, (3000, 3))
+    packed = partitional._Passes(partitional.hashed_rows(frame_of(spark, points), "id", ["x", "y", "z"])).rows
+    assert packed.count() <= 2 * spark.sparkContext.defaultParallelism  # not a row of arrays per row
+    found = np.concatenate([np.frombuffer(r["rows"]).reshape(-1, 3) for r in packed.collect()])
+    assert (found[np.lexsort(found.T)] == points[np.lexsort(points.T)]).all()
+
+
 def test_kmeans_few_rows(spark):
     frame = frame_of(spark, [[1, 1, 1]] * 5 + [[2, 2, 2]] * 3)
     labels = clustering.kmeans_best_of(frame, "id", ["x", "y", "z"], 5, 4)

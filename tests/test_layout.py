@@ -39,6 +39,18 @@ def test_repeats_and_few_rows(spark):
     assert few.count() == 12 and layout.neighbour_graph(rows_of(spark, points[:1])).count() == 0
 
 
+def test_distances_are_exact_and_descent_follows_few_trees(spark):
+    rng = np.random.default_rng(6)
+    points = np.concatenate([rng.normal(0, 1, (600, 12))] * 2) + 1000.0
+    frame = rows_of(spark, points)
+    lists = layout.neighbour_lists(frame, 5, trees=1, block=64, goal=1.0).toPandas()
+    assert len(lists) == 1200 and all(len(set(v)) == len(v) == 5 and u not in v for u, v in zip(lists.u, lists.v))
+    found = lists.explode(["v", "d"]).astype({"v": int, "d": float})
+    true = np.sqrt(((points[found.u] - points[found.v]) ** 2).sum(1))
+    # Copies are at no distance at all: a rounding error would look like a better neighbour in every round.
+    assert np.allclose(found.d, true, rtol=1e-12, atol=0) and (found.groupby("u").d.min() == 0).mean() > 0.9
+
+
 def test_layout_keeps_neighbours_better_than_a_projection(spark):
     rng = np.random.default_rng(5)
     turn = rng.uniform(1.5 * np.pi, 4.5 * np.pi, 1200)

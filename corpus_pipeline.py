@@ -7,6 +7,7 @@ columns of ``documents``. Decisions name a row by its ``doc_id``, which may be n
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +22,8 @@ def _row(identifier: Column, sha: Column) -> Column:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    text = F.translate(F.coalesce(F.col("text"), F.lit("")), WHITE.decode(), "")
+    # A replacement works on the bytes; translate makes an object of every character.
+    text = reduce(lambda t, white: F.replace(t, F.lit(white), F.lit("")), WHITE.decode(), F.coalesce(F.col("text"), F.lit("")))
     return docs.withColumn("_row", _row(F.col("doc_id"), F.sha2(text.cast("binary"), 256)))
 
 

@@ -18,25 +18,29 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from munimetrics.llm.common import WHITE, byte_texts
+from munimetrics.llm.common import WHITE, byte_texts, rows_of
 from munimetrics.llm.radixtrie import RadixTrie
 
 #: Bytes of text that a task folds before it passes them on, and that a partition's trie holds before it spills.
-FOLD_BYTES = 48 << 20
-TRIE_BYTES = 192 << 20
+FOLD_BYTES = 16 << 20
+TRIE_BYTES = 64 << 20
+#: Rows whose texts are taken out of an Arrow batch at a time.
+SLICE = 256
 
 
 def normalise(text: bytes) -> bytes:
     return text.translate(None, WHITE)
 
 
-def _owners(column_id: pa.Array, column_text: pa.Array) -> Iterator[tuple[bytes, tuple]]:
-    points = pc.fill_null(pc.utf8_length(column_text), 0).to_pylist()
-    for text, size, identifier in zip(byte_texts(column_text), points, column_id.to_pylist(), strict=True):
-        yield normalise(text), (size, identifier, 1)
+def _owners(batch: pa.RecordBatch) -> Iterator[tuple[bytes, tuple]]:
+    """Normalised text and owner of each row of ``(id, text)``."""
+    for part in rows_of(iter([batch]), SLICE):
+        points = pc.fill_null(pc.utf8_length(part.column(1)), 0).to_pylist()
+        for text, size, identifier in zip(byte_texts(part.column(1)), points, part.column(0).to_pylist(), strict=True):
+            yield normalise(text), (size, identifier, 1)
 
 
-def _rows(trie: RadixTrie, kind: pa.DataType, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def _rows(trie: RadixTrie, kind: pa.DataType, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     keys, owners, held = [], [], 0
 
     def batch() -> pa.RecordBatch:
@@ -68,7 +72,7 @@ def distinct_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         trie, held, of = RadixTrie(4 * FOLD_BYTES), 0, pa.int64()
         for part in batches:
             of = part.column(0).type
-            for key, owner in _owners(part.column(0), part.column(1)):
+            for key, owner in _owners(part):
                 if trie.insert(key, owner):
                     held += len(key)
                     if held > FOLD_BYTES:
@@ -80,9 +84,10 @@ def distinct_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         trie, of = RadixTrie(TRIE_BYTES), pa.int64()
         for part in batches:
             of = part.column("owner").type
-            owners = zip(*(part.column(c).to_pylist() for c in ("points", "owner", "rows")))
-            for key, owner in zip(part.column("key").to_pylist(), owners):
-                trie.insert(key, owner)
+            for rows in rows_of(iter([part]), SLICE):
+                owners = zip(*(rows.column(c).to_pylist() for c in ("points", "owner", "rows")))
+                for key, owner in zip(rows.column("key").to_pylist(), owners):
+                    trie.insert(key, owner)
         for part in _rows(trie, of):
             digests = [hashlib.sha256(key).digest() for key in part.column("key").to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -108,7 +113,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     kind = docs.schema[id_col].dataType.simpleString()
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in batches:
+        for part in rows_of(batches, SLICE):
             shas = [hashlib.sha256(normalise(t)).digest() for t in byte_texts(part.column(1))]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(shas, pa.binary())], ["id", "sha"])
 

@@ -1,8 +1,10 @@
 import hashlib
 import re
+import tracemalloc
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 
 from munimetrics.llm import exactdedup, queries, simhash
@@ -117,3 +119,15 @@ def test_exact_duplicates_edge_cases(spark):
         (2, 3, 3, False), (1, 3, 3, False), (3, 3, 3, True), (8, 8, 4, True), (6, 8, 4, False), (None, 8, 4, False),
         (9, 9, 1, True)}
     assert exactdedup.exact_duplicates(spark.createDataFrame([], shape)).count() == 0
+
+
+def test_texts_leave_a_batch_in_slices():
+    texts = [f"{n} " * 400 for n in range(4000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(4000), pa.int64()), pa.array(texts)], ["id", "text"])
+    tracemalloc.start()
+    try:
+        rows = sum(1 for _ in exactdedup._owners(batch))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows == 4000 and peak < batch.nbytes / 4
